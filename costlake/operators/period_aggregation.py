@@ -41,21 +41,24 @@ def cost_period_aggregation(
         src.groupBy(F.date_trunc(unit, "usage_date").alias("usage_date"), *group_by, "billing_period")
         .agg(F.sum(metric).alias("_sum"))
     )
+    # money stays DECIMAL: sums are exact and the per-day normalisation is an exact decimal division
+    # (scale 15) rounded HALF_UP, so the result does not depend on floating-point evaluation order
     total = F.round(F.col("_sum"), 4)
+    money = F.col("_sum").cast("decimal(24,4)")
     if include_date_bounds:
         if as_of is None:
             raise ValueError("include_date_bounds needs as_of")
         cal = days_per_period(src, unit, as_of)
         agg = agg.join(F.broadcast(cal), agg["usage_date"] == cal["_period"], "inner").drop("_period")
         scale = 7 if unit == "week" else 30
-        normalized = round_half_up(F.col("_sum").cast("double") / F.col("_ct_days") * scale, 4)
+        normalized = F.round(money * F.lit(scale) / F.col("_ct_days").cast("decimal(20,0)"), 4)
     elif unit == "month":
-        normalized = round_half_up(F.col("_sum").cast("double") / F.dayofmonth(F.last_day("usage_date")), 4)
+        normalized = F.round(money / F.dayofmonth(F.last_day("usage_date")).cast("decimal(20,0)"), 4)
     else:
         normalized = total
     agg = agg.select("usage_date", *group_by, "billing_period",
-                     total.cast("double").alias("total_effective_cost"),
-                     normalized.cast("double").alias("total_effective_cost_normalized"))
+                     total.cast("decimal(38,4)").alias("total_effective_cost"),
+                     normalized.cast("decimal(38,4)").alias("total_effective_cost_normalized"))
 
     # lag = previous row of the same partition (gaps in the calendar are skipped)
     w = Window.partitionBy(*partition_by).orderBy("usage_date", *group_by, "billing_period")
@@ -64,10 +67,11 @@ def cost_period_aggregation(
     cur, cur_n = F.col("total_effective_cost"), F.col("total_effective_cost_normalized")
     changed = agg.select(
         "*",
-        round_half_up(cur - prev, 4).alias("total_change"),
-        round_half_up(F.try_divide(cur - prev, prev), 4).alias("pct_change"),
-        round_half_up(cur_n - prev_n, 4).alias("total_change_normalized"),
-        round_half_up(F.try_divide(cur_n - prev_n, prev_n), 4).alias("pct_change_normalized"),
+        (cur - prev).alias("total_change"),
+        round_half_up(F.try_divide((cur - prev).cast("double"), prev.cast("double")), 4).alias("pct_change"),
+        (cur_n - prev_n).alias("total_change_normalized"),
+        round_half_up(F.try_divide((cur_n - prev_n).cast("double"), prev_n.cast("double")), 4)
+        .alias("pct_change_normalized"),
     )
     # try_divide(x, 0.0) is NULL like x / nullif(0, 0)
     ranked = rank_within(changed, partition_by=["usage_date"], order_col="total_change_normalized",
