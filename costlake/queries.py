@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from costlake.oracle import core as oracle_core
+from costlake.oracle import network as oracle_network
+from costlake.plans import network
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
@@ -37,12 +39,23 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
     "gold_tag_key_coverage_monthly": lambda m: m.tag_key_coverage_monthly,
     "serve_account_metadata": lambda m: m.account_metadata,
     "serve_cost_service_account_daily": lambda m: m.cost_service_account_daily,
+    # networking
+    "gold_data_transfer": lambda m: network.data_transfer(m.silver, m.period),
+    "gold_data_transfer_imbalance_monthly": lambda m: network.data_transfer_imbalance(m.silver, m.period),
+    "gold_firewall_optimization_monthly": lambda m: network.firewall_optimization(m.silver, m.period),
+    "gold_ipv4_monthly": lambda m: network.ipv4(m.silver, m.period),
+    "gold_load_balancer_monthly": lambda m: network.load_balancer(m.silver, m.period),
+    "gold_nat_gateway_daily": lambda m: network.nat_gateway_daily(m.silver),
+    "gold_nat_gateway_summary_monthly": lambda m: network.nat_gateway_summary(network.nat_gateway_daily(m.silver)),
+    "gold_transit_gateway_monthly": lambda m: network.transit_gateway(m.silver, m.period),
+    "gold_vpc_endpoint_optimization_monthly": lambda m: network.vpc_endpoint(m.silver),
 }
 
 
 def ORACLE() -> dict[str, str]:
     out = {}
     out.update(oracle_core.oracle())
+    out.update(oracle_network.oracle())
     return out
 
 

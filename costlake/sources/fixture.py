@@ -42,7 +42,7 @@ TEMPLATES = [
     (18, "AmazonVPC", "AmazonVPC", "IP Address", "PublicIPv4:IdleAddress", "AllocateAddressVPC", "arn:aws:ec2:{r}:{a}:ipv4pool-ec2/ip-", "", "", "", "", "", "", "", "", "Hrs", "$0.005 per Idle public IPv4 address per hour", "", "", "", "", "", "", "AWS"),
     (19, "AmazonVPC", "AmazonVPC", "VpcEndpoint", "VpcEndpoint-Hours", "VpcEndpoint", "arn:aws:ec2:{r}:{a}:vpc-endpoint/vpce-0", "", "", "", "", "", "", "", "", "Hrs", "$0.01 per VPC Endpoint Hour", "", "", "", "", "", "", "AWS"),
     (20, "AmazonVPC", "AmazonVPC", "VpcEndpoint", "VpcEndpoint-Bytes", "VpcEndpoint", "arn:aws:ec2:{r}:{a}:vpc-endpoint/vpce-0", "", "", "", "", "", "", "", "", "GB", "$0.01 per GB Data Processed by VPC Endpoints", "", "", "", "", "", "", "AWS"),
-    (21, "AmazonVPC", "AmazonVPC", "Transit Gateway", "TransitGateway-Hours", "TransitGatewayVPC", "arn:aws:ec2:{r}:{a}:transit-gateway-attachment/tgw-attach-0", "", "", "", "", "", "", "", "", "Hrs", "$0.05 per TransitGateway attachment hour", "", "VPC", "", "", "", "", "AWS"),
+    (21, "AmazonVPC", "AmazonVPC", "Transit Gateway", "TransitGateway-Hours", "TransitGatewayVPC", "arn:aws:ec2:{r}:{a}:transit-gateway-attachment/tgw-attach-0", "", "", "", "", "", "", "", "", "hour", "$0.05 per TransitGateway attachment hour", "", "VPC", "", "", "", "", "AWS"),
     (22, "AmazonVPC", "AmazonVPC", "Transit Gateway", "TransitGateway-Bytes", "TransitGatewayVPC", "arn:aws:ec2:{r}:{a}:transit-gateway-attachment/tgw-attach-0", "", "", "", "", "", "", "", "", "GigaBytes", "$0.02 per GB - TransitGateway data processed", "", "VPC", "", "", "", "", "AWS"),
     (23, "AmazonS3", "AmazonS3", "Storage", "TimedStorage-ByteHrs", "StandardStorage", "team-data-", "", "", "", "", "", "", "", "", "GB-Mo", "$0.023 per GB - first 50 TB / month of storage used", "", "", "", "", "", "", "AWS"),
     (24, "AmazonS3", "AmazonS3", "API Request", "Requests-Tier1", "PutObject", "team-data-", "", "", "", "", "", "", "", "", "Requests", "$0.005 per 1,000 PUT, COPY, POST, or LIST requests", "", "", "", "", "", "", "AWS"),
@@ -141,7 +141,7 @@ SELECT
   t.pc AS line_item_product_code,
   t.pname AS product_product_name,
   t.ssc AS product_servicecode,
-  CASE WHEN t.pc = 'AWSELB' THEN 'ELB:Balancer' ELSE '' END AS product_group,
+  CASE WHEN t.pc = 'AWSELB' THEN 'ELB:Balancer' WHEN t.fam = 'Transit Gateway' THEN 'AWSTransitGateway' ELSE '' END AS product_group,
   s.ct AS line_item_line_item_type,
   CASE WHEN s.ct = 'Tax' THEN '' ELSE r.pfx || t.ut END AS line_item_usage_type,
   t.op AS line_item_operation,
