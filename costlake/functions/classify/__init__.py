@@ -161,3 +161,8 @@ def to_sql(rules, default, colmap=None) -> str:
     colmap = colmap or {}
     whens = " ".join(f"WHEN {condition_sql(c, colmap)} THEN {_label_sql(v, colmap)}" for c, v in rules)
     return f"(CASE {whens} ELSE {_label_sql(default, colmap)} END)"
+
+
+def like_rules(column: str, pairs) -> list:
+    """Rules of the common shape "column LIKE pattern -> label", in order."""
+    return [(("like", column, p), label) for p, label in pairs]

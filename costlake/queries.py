@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costlake.oracle import core as oracle_core
 from costlake.oracle import network as oracle_network
-from costlake.plans import network
+from costlake.oracle import other as oracle_other
+from costlake.plans import network, other
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
@@ -49,6 +50,13 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
     "gold_nat_gateway_summary_monthly": lambda m: network.nat_gateway_summary(network.nat_gateway_daily(m.silver)),
     "gold_transit_gateway_monthly": lambda m: network.transit_gateway(m.silver, m.period),
     "gold_vpc_endpoint_optimization_monthly": lambda m: network.vpc_endpoint(m.silver),
+    # other
+    "gold_api_gateway_daily": lambda m: other.api_gateway_daily(m.silver, m.period),
+    "gold_cloudwatch_monthly": lambda m: other.cloudwatch_monthly(m.silver, m.period),
+    "gold_config_daily": lambda m: other.config_daily(m.cost_daily, m.period),
+    "gold_extended_support_monthly": lambda m: other.extended_support_monthly(m.silver, m.period),
+    "gold_kinesis_optimization_monthly": lambda m: other.kinesis_optimization_monthly(m.silver, m.period),
+    "gold_support_chargeback_monthly": lambda m: other.support_chargeback_monthly(m.cost_daily, m.period),
 }
 
 
@@ -56,6 +64,7 @@ def ORACLE() -> dict[str, str]:
     out = {}
     out.update(oracle_core.oracle())
     out.update(oracle_network.oracle())
+    out.update(oracle_other.oracle())
     return out
 
 
