@@ -3,11 +3,12 @@
 A rule is ``(condition, label)``. Conditions are nested tuples:
 
     ("like", col, pattern)      SQL LIKE
+    ("rlike", col, regex)       regular expression search
     ("eq", col, value)          equality
     ("in", col, [values])       membership
     ("or", c1, c2, ...)  ("and", c1, c2, ...)  ("not", c)
 
-``col`` is a column name or ``("split_part", name, delim, n)``. A label is a string, ``None``,
+``col`` is a column name, ``("split_part", name, delim, n)`` or ``("lower", name)``. A label is a string, ``None``,
 or ``("col", name)`` (fall back to a column's value).
 
 ``compile_rules`` builds one ``CASE WHEN`` Column (codegen'd, no UDF). For large rule sets applied
@@ -26,6 +27,8 @@ def _col(spec, colmap) -> Column:
     if isinstance(spec, tuple) and spec[0] == "split_part":
         _, name, delim, n = spec
         return F.split_part(F.col(colmap.get(name, name)), F.lit(delim), F.lit(n))
+    if isinstance(spec, tuple) and spec[0] == "lower":
+        return F.lower(F.col(colmap.get(spec[1], spec[1])))
     return F.col(colmap.get(spec, spec))
 
 
@@ -34,6 +37,8 @@ def compile_condition(cond, colmap=None) -> Column:
     op = cond[0]
     if op == "like":
         return _col(cond[1], colmap).like(cond[2])
+    if op == "rlike":
+        return _col(cond[1], colmap).rlike(cond[2])
     if op == "eq":
         return _col(cond[1], colmap) == F.lit(cond[2])
     if op == "in":
@@ -78,7 +83,7 @@ def input_columns(rules, default=None) -> list[str]:
             seen.append(name)
 
     def walk(cond):
-        if cond[0] in ("like", "eq", "in"):
+        if cond[0] in ("like", "rlike", "eq", "in"):
             spec = cond[1]
             add(spec[1] if isinstance(spec, tuple) else spec)
         else:
@@ -128,6 +133,8 @@ def _sql_col(spec, colmap) -> str:
     if isinstance(spec, tuple) and spec[0] == "split_part":
         _, name, delim, n = spec
         return f"split_part({colmap.get(name, name)}, {_q(delim)}, {n})"
+    if isinstance(spec, tuple) and spec[0] == "lower":
+        return f"lower({colmap.get(spec[1], spec[1])})"
     return colmap.get(spec, spec)
 
 
@@ -136,6 +143,8 @@ def condition_sql(cond, colmap=None) -> str:
     op = cond[0]
     if op == "like":
         return f"{_sql_col(cond[1], colmap)} LIKE {_q(cond[2])}"
+    if op == "rlike":
+        return f"regexp_matches({_sql_col(cond[1], colmap)}, {_q(cond[2])})"
     if op == "eq":
         return f"{_sql_col(cond[1], colmap)} = {_q(cond[2])}"
     if op == "in":

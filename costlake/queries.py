@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from costlake.oracle import core as oracle_core
 from costlake.oracle import network as oracle_network
 from costlake.oracle import other as oracle_other
-from costlake.plans import network, other
+from costlake.oracle import storage as oracle_storage
+from costlake.plans import network, other, storage
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
@@ -57,6 +58,14 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
     "gold_extended_support_monthly": lambda m: other.extended_support_monthly(m.silver, m.period),
     "gold_kinesis_optimization_monthly": lambda m: other.kinesis_optimization_monthly(m.silver, m.period),
     "gold_support_chargeback_monthly": lambda m: other.support_chargeback_monthly(m.cost_daily, m.period),
+    # storage
+    "gold_ebs_daily": lambda m: storage.ebs_daily(m.silver, m.period),
+    "gold_ebs_summary_monthly": lambda m: storage.ebs_summary_monthly(storage.ebs_daily(m.silver, m.period)),
+    "gold_ebs_snapshot_current": lambda m: storage.ebs_snapshot_current(
+        storage.ebs_summary_monthly(storage.ebs_daily(m.silver, m.period)), m.as_of),
+    "gold_s3_daily": lambda m: storage.s3_daily(m.silver, m.period),
+    "gold_s3_summary_monthly": lambda m: storage.s3_summary_monthly(storage.s3_daily(m.silver, m.period), m.silver,
+                                                                    m.as_of, m.period),
 }
 
 
@@ -65,6 +74,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_core.oracle())
     out.update(oracle_network.oracle())
     out.update(oracle_other.oracle())
+    out.update(oracle_storage.oracle())
     return out
 
 
