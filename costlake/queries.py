@@ -10,12 +10,25 @@ from costlake.oracle import core as oracle_core
 from costlake.oracle import network as oracle_network
 from costlake.oracle import other as oracle_other
 from costlake.oracle import storage as oracle_storage
-from costlake.plans import network, other, storage
+from costlake.oracle import database as oracle_database
+from costlake.plans import database, network, other, storage
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
 SILVER_COLUMNS = oracle_core.SILVER_COLUMNS
 
+# Aurora clusters/instances followed by the custom Aurora model (its configuration), chosen among
+# the resource names of the test tables
+AURORA_TARGETS = {
+    "primary_cluster_id": "cluster:aurora-prod-1",
+    "secondary_cluster_id_1": "cluster:aurora-prod-2",
+    "secondary_cluster_id_n": "cluster:aurora-prod-3",
+    "primary_cluster_db_instance_name_1": "db:aurora-prod-1",
+    "primary_cluster_db_instance_name_n": "db:aurora-prod-4",
+    "secondary_cluster_db_instance_name_1": "db:aurora-prod-2",
+    "secondary_cluster_db_instance_name_n": "db:aurora-prod-3",
+}
+
 
 def _silver(m: CostModels) -> DataFrame:
     return m.silver.select(*SILVER_COLUMNS)
@@ -66,6 +79,13 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
     "gold_s3_daily": lambda m: storage.s3_daily(m.silver, m.period),
     "gold_s3_summary_monthly": lambda m: storage.s3_summary_monthly(storage.s3_daily(m.silver, m.period), m.silver,
                                                                     m.as_of, m.period),
+    # database
+    "gold_database_summary_daily": lambda m: database.database_summary_daily(m.silver, m.period),
+    "gold_aurora_io_optimization_monthly": lambda m: database.aurora_io_optimization_monthly(m.silver, m.period),
+    "gold_aurora_custom_monthly": lambda m: database.aurora_custom(m.silver, m.as_of, AURORA_TARGETS,
+                                                                   period=m.period),
+    "gold_dynamodb_optimization_monthly": lambda m: database.dynamodb_optimization_monthly(m.silver, m.period),
+    "gold_elasticache_optimization_monthly": lambda m: database.elasticache_optimization_monthly(m.silver, m.period),
 }
 
 
@@ -75,6 +95,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_network.oracle())
     out.update(oracle_other.oracle())
     out.update(oracle_storage.oracle())
+    out.update(oracle_database.oracle(AURORA_TARGETS))
     return out
 
 
