@@ -138,7 +138,12 @@ SELECT d.*,
   coalesce(nullif(nullif(d.processor_features, ''), 'N/A'), 'none') AS processor_features_n,
   coalesce(nullif(d.processor_architecture, ''), 'none') AS processor_architecture_n,
   coalesce(nullif(d.vcpu, ''), 'none') AS vcpu_n,
-  coalesce(nullif(nullif(d.memory, ''), 'NA'), 'none') AS memory_n
+  coalesce(nullif(nullif(d.memory, ''), 'NA'), 'none') AS memory_n,
+  'none' AS gpu_memory_n,
+  coalesce(nullif(d.storage, ''), 'none') AS storage_n,
+  coalesce(nullif(d.volume_type, ''), 'none') AS volume_type_n,
+  CASE WHEN d.has_sp THEN d.savings_plan_purchase_term WHEN d.has_ri THEN d.pricing_lease_contract_length
+       ELSE '' END AS ri_sp_term
 FROM derived d
 """
 

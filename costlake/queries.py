@@ -11,7 +11,8 @@ from costlake.oracle import network as oracle_network
 from costlake.oracle import other as oracle_other
 from costlake.oracle import storage as oracle_storage
 from costlake.oracle import database as oracle_database
-from costlake.plans import database, network, other, storage
+from costlake.oracle import compute as oracle_compute
+from costlake.plans import compute, database, network, other, storage
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
@@ -86,6 +87,13 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
                                                                    period=m.period),
     "gold_dynamodb_optimization_monthly": lambda m: database.dynamodb_optimization_monthly(m.silver, m.period),
     "gold_elasticache_optimization_monthly": lambda m: database.elasticache_optimization_monthly(m.silver, m.period),
+    # compute
+    "silver_compute_instance_hourly": lambda m: compute.compute_instance_hourly(m.silver, m.period),
+    "gold_instance_resource_monthly": lambda m: compute.instance_resource_monthly(
+        compute.compute_instance_hourly(m.silver, m.period), m.seed("modernization"), m.as_of),
+    "gold_lambda_summary_monthly": lambda m: compute.lambda_summary_monthly(m.silver, m.period),
+    "gold_unused_reservation_monthly": lambda m: compute.unused_reservation_monthly(m.silver, m.period),
+    "gold_workspace_optimization_monthly": lambda m: compute.workspace_optimization_monthly(m.silver, m.period),
 }
 
 
@@ -96,6 +104,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_other.oracle())
     out.update(oracle_storage.oracle())
     out.update(oracle_database.oracle(AURORA_TARGETS))
+    out.update(oracle_compute.oracle())
     return out
 
 
