@@ -62,9 +62,9 @@ SELECT b.*,
   b.charge_type IN ('Usage', 'SavingsPlanCoveredUsage', 'DiscountedUsage') AS is_running_usage,
   b.sp_arn <> '' AS has_sp,
   b.ri_arn <> '' AS has_ri,
-  b.usage_type LIKE '%Spot%' AS is_spot
+  b.usage_type LIKE '%Spot%' AS is_spot,
+  coalesce(b.operation, '') IN ('EKSPod-EC2', 'ECSTask-EC2') AS is_split_allocation
 FROM bronze b
-WHERE coalesce(b.operation, '') NOT IN ('EKSPod-EC2', 'ECSTask-EC2')
 """
 
 MAPPED = """
@@ -157,7 +157,8 @@ def prefix(extra: list[tuple[str, str]] | None = None) -> str:
         ("flags", FLAGS),
         ("mapped", MAPPED),
         ("derived", DERIVED),
-        ("silver", SILVER),
+        ("silver_all", SILVER),
+        ("silver", "SELECT * FROM silver_all WHERE NOT is_split_allocation"),
     ]
     ctes += extra or []
     return "WITH " + ",\n".join(f"{name} AS (\n{body}\n)" for name, body in ctes)

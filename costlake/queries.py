@@ -35,6 +35,11 @@ def _silver(m: CostModels) -> DataFrame:
     return m.silver.select(*SILVER_COLUMNS)
 
 
+def _resource_monthly(m: CostModels) -> DataFrame:
+    return compute.instance_resource_monthly(compute.compute_instance_hourly(m.silver, m.period),
+                                             m.seed("modernization"), m.as_of)
+
+
 def _invoice(m: CostModels) -> DataFrame:
     # exact distinct counts so the oracle can compare them (the model's default is HyperLogLog)
     from costlake.plans import core
@@ -94,6 +99,12 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
     "gold_lambda_summary_monthly": lambda m: compute.lambda_summary_monthly(m.silver, m.period),
     "gold_unused_reservation_monthly": lambda m: compute.unused_reservation_monthly(m.silver, m.period),
     "gold_workspace_optimization_monthly": lambda m: compute.workspace_optimization_monthly(m.silver, m.period),
+    "gold_instance_type_monthly": lambda m: compute.instance_type_aggregation(_resource_monthly(m)),
+    "gold_instance_type_account_monthly": lambda m: compute.instance_type_aggregation(_resource_monthly(m),
+                                                                                      include_account=True),
+    "silver_container_daily": lambda m: compute.container_daily_silver(m.silver_with_split, m.period),
+    "gold_container_daily": lambda m: compute.container_daily(
+        compute.container_daily_silver(m.silver_with_split, m.period)),
 }
 
 

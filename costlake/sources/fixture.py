@@ -71,13 +71,14 @@ TEMPLATES = [
     (47, "AWSNetworkFirewall", "AWSNetworkFirewall", "Firewall", "Endpoint-Hour", "VpcEndpoint", "arn:aws:network-firewall:{r}:{a}:firewall/edge-", "", "", "", "", "", "", "", "", "Hrs", "$0.395 per firewall endpoint hour", "", "", "", "", "", "", "AWS"),
     (48, "AWSNetworkFirewall", "AWSNetworkFirewall", "Firewall", "Traffic-GB-Processed", "VpcEndpoint", "arn:aws:network-firewall:{r}:{a}:firewall/edge-", "", "", "", "", "", "", "", "", "GB", "$0.065 per GB processed by firewall endpoints", "", "", "", "", "", "", "AWS"),
     (49, "AmazonWorkSpaces", "AmazonWorkSpaces", "Virtual Desktop", "AW-HW-2-AutoStop-Usage", "Windows:BYOL", "arn:aws:workspaces:{r}:{a}:workspace/ws-", "", "", "", "", "Windows", "", "2", "4 GiB", "Hrs", "Performance AutoStop hourly usage Windows BYOL", "", "", "", "", "Bring your own license", "", "AWS"),
-    (50, "AmazonECS", "AmazonECS", "Compute", "Fargate-vCPU-Hours:perCPU", "FargateTask", "arn:aws:ecs:{r}:{a}:task/prod-cluster/", "", "", "", "", "", "", "", "", "hours", "AWS Fargate - vCPU - US East", "", "", "", "", "", "", "AWS"),
-    (51, "AmazonECS", "AmazonECS", "Compute", "Fargate-GB-Hours", "FargateTask", "arn:aws:ecs:{r}:{a}:task/prod-cluster/", "", "", "", "", "", "", "", "", "hours", "AWS Fargate - Memory - US East", "", "", "", "", "", "", "AWS"),
+    (50, "AmazonECS", "AmazonECS", "Compute", "Fargate-vCPU-Hours:perCPU", "FargateTask", "arn:aws:ecs:{r}:{a}:cluster/prod-cluster-", "", "", "", "", "", "", "", "", "hours", "AWS Fargate - vCPU - US East", "", "", "", "", "", "", "AWS"),
+    (51, "AmazonECS", "AmazonECS", "Compute", "Fargate-GB-Hours", "FargateTask", "arn:aws:ecs:{r}:{a}:service/prod-cluster/web-", "", "", "", "", "", "", "", "", "hours", "AWS Fargate - Memory - US East", "", "", "", "", "", "", "AWS"),
     (52, "AWSSupportEnterprise", "AWSSupportEnterprise", "Support", "Dollar", "", "", "", "", "", "", "", "", "", "", "Dollar", "AWS Support (Enterprise)", "", "", "", "", "", "", "AWS"),
     (53, "prodmkt7x2", "prodmkt7x2", "SaaS", "SoftwareUsage:firewall", "Unit", "", "", "", "", "", "", "", "", "", "Units", "Acme Firewall subscription", "", "", "Acme Firewall", "", "", "", "AWS Marketplace"),
     (54, "AWSNewService", "AWSNewService", "Misc", "NewService-Requests", "Invoke", "", "", "", "", "", "", "", "", "", "Requests", "New service usage", "", "", "", "", "", "", "AWS"),
     (55, "AmazonEKS", "AmazonEKS", "Compute", "AmazonEKS-Hours:perCluster", "CreateOperation", "arn:aws:eks:{r}:{a}:cluster/prod-", "", "", "", "", "", "", "", "", "Hours", "Amazon EKS cluster usage", "", "", "", "", "", "", "AWS"),
     (56, "AmazonEKS", "AmazonEKS", "Compute", "AmazonEKS-Hours:extendedSupport", "CreateOperation", "arn:aws:eks:{r}:{a}:cluster/legacy-", "", "", "", "", "", "", "", "", "Hours", "Amazon EKS extended support", "", "", "", "", "", "", "AWS"),
+    (58, "AmazonEC2", "AmazonEC2", "Compute", "EKS-EC2-vCPU-Hours", "EKSPod-EC2", "arn:aws:eks:{r}:{a}:cluster/prod-", "", "", "", "", "", "", "", "", "vCPU-Hours", "EKS pod split cost allocation (vCPU)", "", "", "", "", "", "", "AWS"),
     (57, "AmazonRDS", "AmazonRDS", "Database Instance", "ExtendedSupport:Yr3:PostgreSQL11", "CreateDBInstance:0014", "arn:aws:rds:{r}:{a}:db:pg-legacy-", "", "PostgreSQL", "", "", "", "", "", "", "vCPU-Hours", "RDS Extended Support Year 3 for PostgreSQL 11", "", "", "", "", "", "", "AWS"),
 ]
 
