@@ -11,7 +11,9 @@ from costlake.oracle import network as oracle_network
 from costlake.oracle import other as oracle_other
 from costlake.oracle import storage as oracle_storage
 from costlake.oracle import database as oracle_database
+from costlake.oracle import checks as oracle_checks
 from costlake.oracle import compute as oracle_compute
+from costlake.operators import checks
 from costlake.plans import compute, database, network, other, storage
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
@@ -40,6 +42,47 @@ def _resource_monthly(m: CostModels) -> DataFrame:
                                              m.seed("modernization"), m.as_of)
 
 
+def _serve(m: CostModels) -> DataFrame:
+    return to_double(m.cost_service_account_daily)
+
+
+CHECK_QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
+    "check_not_null": lambda m: checks.check_not_null(_serve(m), "account_id"),
+    "check_unique": lambda m: checks.check_unique(m.account_metadata, "account_id", where="account_type = 'linked'"),
+    "check_unique_combination": lambda m: checks.check_unique_combination(
+        _serve(m), ["usage_date", "account_id", "service_code"]),
+    "check_accepted_values": lambda m: checks.check_accepted_values(m.account_metadata, "account_type",
+                                                                    ["linked", "payer"]),
+    "check_relationships": lambda m: checks.check_relationships(_serve(m), "account_id", m.account_metadata,
+                                                                "account_id"),
+    "check_row_count_between": lambda m: checks.check_row_count_between(_serve(m), min_value=1),
+    "check_value_length": lambda m: checks.check_value_length(m.account_metadata, "account_id", equal=12),
+    "check_values_between": lambda m: checks.check_values_between(_serve(m), "total_effective_cost", 0, 1000000000),
+    "check_column_type": lambda m: checks.check_column_type(_serve(m), "usage_date", "timestamp"),
+    "check_expression": lambda m: checks.check_expression(_serve(m), "total_list_cost >= total_effective_cost"),
+    "check_cost_hierarchy": lambda m: checks.check_cost_hierarchy(_serve(m)),
+    "check_negative_costs": lambda m: checks.check_negative_costs(_serve(m)),
+    "check_period_consistency": lambda m: checks.check_period_consistency(_serve(m)),
+    "check_account_metadata": lambda m: checks.check_account_metadata(_serve(m), m.account_metadata),
+    "check_unmapped_products": lambda m: checks.check_unmapped_products(m.cost_daily, m.seed("products")),
+    "check_unmapped_regions": lambda m: checks.check_unmapped_regions(m.region_monthly),
+    "check_unmapped_families": lambda m: checks.check_unmapped_families(
+        compute.compute_instance_hourly(m.silver, m.period), m.seed("modernization")),
+    "check_invoice_complete": lambda m: checks.check_invoice_complete(m.invoice_monthly, m.as_of),
+    "severity_gate": lambda m: checks.severity_gate(m.spark, {
+        "cost_hierarchy": checks.check_cost_hierarchy(_serve(m)),
+        "negative_costs": checks.check_negative_costs(_serve(m)),
+        "period_consistency": checks.check_period_consistency(_serve(m)),
+        "account_metadata": checks.check_account_metadata(_serve(m), m.account_metadata),
+    }, {
+        "cost_hierarchy": checks.Severity("error", ">= 1", ">= 50"),
+        "negative_costs": checks.Severity("warn", ">= 1", ">= 10"),
+        "period_consistency": checks.Severity("error", ">= 1", ">= 1"),
+        "account_metadata": checks.Severity("warn", ">= 100", ">= 10"),
+    }),
+}
+
+
 def _invoice(m: CostModels) -> DataFrame:
     # exact distinct counts so the oracle can compare them (the model's default is HyperLogLog)
     from costlake.plans import core
@@ -108,6 +151,9 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
 }
 
 
+QUERIES.update(CHECK_QUERIES)
+
+
 def ORACLE() -> dict[str, str]:
     out = {}
     out.update(oracle_core.oracle())
@@ -116,6 +162,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_storage.oracle())
     out.update(oracle_database.oracle(AURORA_TARGETS))
     out.update(oracle_compute.oracle())
+    out.update(oracle_checks.oracle())
     return out
 
 
