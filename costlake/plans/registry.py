@@ -55,7 +55,9 @@ class CostModels:
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "CostModels":
         kw.setdefault("as_of", DRIVER_AS_OF)
-        return cls(spark, cur_source(spark, sf_dir), **kw)
+        m = cls(spark, cur_source(spark, sf_dir), **kw)
+        m.sf_dir = sf_dir
+        return m
 
     @classmethod
     def from_path(cls, spark: SparkSession, path: str, as_of: _dt.date | None = None, **kw) -> "CostModels":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,9 @@ from costlake.oracle import storage as oracle_storage
 from costlake.oracle import database as oracle_database
 from costlake.oracle import checks as oracle_checks
 from costlake.oracle import compute as oracle_compute
+from costlake.oracle import normalize as oracle_normalize
+from costlake.operators import freshness, normalize
+from costlake.sources.fixture import events_billing
 from costlake.operators import checks
 from costlake.plans import compute, database, network, other, storage
 from costlake.plans.registry import CostModels, to_double
@@ -153,6 +157,35 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
 
 QUERIES.update(CHECK_QUERIES)
 
+# as-of of the events-based hourly data (fixed for oracle parity)
+EVENTS_AS_OF = datetime.datetime(2024, 1, 31)
+
+
+def _freshness(m: CostModels) -> DataFrame:
+    return freshness.hourly_freshness_stats(events_billing(m.spark, m.sf_dir), EVENTS_AS_OF)
+
+
+def _snapshot(m: CostModels) -> DataFrame:
+    """Two refreshes of the hourly stats merged as SCD2: as of mid-month, then as of month end."""
+    ev = events_billing(m.spark, m.sf_dir)
+    first = freshness.hourly_freshness_stats(ev, datetime.datetime(2024, 1, 15))
+    second = freshness.hourly_freshness_stats(ev, EVENTS_AS_OF)
+    snap = freshness.snapshot_scd2(None, first, "usage_hour", "max_modified_date")
+    return freshness.snapshot_scd2(snap, second, "usage_hour", "max_modified_date")
+
+
+QUERIES.update({
+    "usage_type_rollup": lambda m: normalize.usage_type_rollup(m.silver),
+    "instance_series_rollup": lambda m: normalize.instance_series_rollup(m.silver),
+    "resource_name_rollup": lambda m: normalize.resource_name_rollup(m.bronze),
+    "dedupe_line_items": lambda m: normalize.dedupe_line_items(m.bronze),
+    "filter_data_transfer_v1": lambda m: normalize.filter_data_transfer_v1(m.silver),
+    "filter_data_transfer_v2": lambda m: normalize.filter_data_transfer_v2(m.silver),
+    "filter_ec2_instances": lambda m: normalize.filter_ec2_instances(m.silver),
+    "hourly_freshness_stats": _freshness,
+    "snapshot_scd2": _snapshot,
+})
+
 
 def ORACLE() -> dict[str, str]:
     out = {}
@@ -163,6 +196,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_database.oracle(AURORA_TARGETS))
     out.update(oracle_compute.oracle())
     out.update(oracle_checks.oracle())
+    out.update(oracle_normalize.oracle())
     return out
 
 

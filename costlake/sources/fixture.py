@@ -257,3 +257,21 @@ def cur_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw billing-export-shaped DataFrame over the driver tables in ``sf_dir``."""
     register_driver_tables(spark, sf_dir)
     return spark.sql(cur_source_sql())
+
+
+def events_billing_sql() -> str:
+    """Hourly billing lines shaped from ``events`` (sub-second timestamps of one month): timestamp ->
+    usage date, value -> cost, user -> payer account, event type -> charge type."""
+    return """
+SELECT e.ts AS usage_date,
+  lpad(CAST(e.user_id % 7 + 901 AS STRING), 12, '0') AS payer_account_id,
+  CASE e.event_type WHEN 'purchase' THEN 'Usage' WHEN 'click' THEN 'Usage' WHEN 'view' THEN 'DiscountedUsage'
+       WHEN 'signup' THEN 'Fee' ELSE 'Tax' END AS charge_type,
+  CAST(CAST(e.value AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS unblended_cost
+FROM events e
+"""
+
+
+def events_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_driver_tables(spark, sf_dir, tables=("events",))
+    return spark.sql(events_billing_sql()).withColumn("usage_date", __import__("pyspark.sql.functions", fromlist=["col"]).col("usage_date").cast("timestamp"))
