@@ -59,6 +59,8 @@ def compile_condition(cond, colmap=None) -> Column:
 
 
 def _label(label, colmap) -> Column:
+    if isinstance(label, tuple) and label[0] == "rules":
+        return compile_rules(label[1], label[2], colmap)
     if isinstance(label, tuple) and label[0] == "col":
         return F.col(colmap.get(label[1], label[1]))
     if isinstance(label, tuple) and label[0] == "concat":
@@ -91,7 +93,12 @@ def input_columns(rules, default=None) -> list[str]:
                 walk(c)
 
     def walk_label(label):
-        if isinstance(label, tuple) and label[0] == "col":
+        if isinstance(label, tuple) and label[0] == "rules":
+            for c2, l2 in label[1]:
+                walk(c2)
+                walk_label(l2)
+            walk_label(label[2])
+        elif isinstance(label, tuple) and label[0] == "col":
             add(label[1])
         elif isinstance(label, tuple) and label[0] == "concat":
             for x in label[1:]:
@@ -108,8 +115,7 @@ def classify_by_signature(df: DataFrame, rules, default, out_col: str, colmap=No
     """Label rows by classifying their distinct input signatures and joining the label back.
 
     The signature table has one row per distinct combination of the rule inputs (usage types x
-    operations ...: thousands, not billions), so the join is a broadcast hash join whose size is set
-    by the catalogue of usage types, not by the data volume. NULL-safe join keys keep NULL inputs.
+    operations ...: thousands, not billions); NULL-safe join keys keep NULL inputs.
     """
     colmap = colmap or {}
     cols = [colmap.get(c, c) for c in input_columns(rules, default)]
@@ -120,7 +126,9 @@ def classify_by_signature(df: DataFrame, rules, default, out_col: str, colmap=No
     for c in cols:
         e = df[c].eqNullSafe(renamed[f"_sig_{c}"])
         cond = e if cond is None else cond & e
-    return df.join(F.broadcast(renamed), cond, "left").drop(*[f"_sig_{c}" for c in cols])
+    # no broadcast hint: the signature table's size comes from the data, so Spark's runtime size
+    # check (AQE) picks a broadcast hash join when it is small and a shuffle join otherwise
+    return df.join(renamed, cond, "left").drop(*[f"_sig_{c}" for c in cols])
 
 
 # ---- SQL rendering (oracle) -----------------------------------------------------------------
@@ -157,6 +165,8 @@ def condition_sql(cond, colmap=None) -> str:
 
 
 def _label_sql(label, colmap) -> str:
+    if isinstance(label, tuple) and label[0] == "rules":
+        return to_sql(label[1], label[2], colmap)
     if label is None:
         return "CAST(NULL AS VARCHAR)"
     if isinstance(label, tuple) and label[0] == "col":

@@ -96,3 +96,52 @@ def instance_normalization_factor_sql(size: str = "instance_size", family: str =
 
 # Fixed value: Graviton instance families in a usage type (e.g. 'BoxUsage:m6g.large')
 GRAVITON_PATTERN = r".?[a-z]([1-9]|[1-9][0-9]).?.?[g][a-zA-Z]?\."
+
+# ---- EC2 usage categories (labels built from family and purchase option; EBS rows delegate) -------
+from costlake.functions.classify.families import A as _A, L as _L, N as _N  # noqa: E402
+from costlake.functions.classify.storage import EBS as _EBS, EBS_DEFAULT as _EBS_DEFAULT  # noqa: E402
+
+
+def _fam(suffix: str):
+    return ("concat", "EC2 ", ("col", "instance_type_family"), " ", ("col", "purchase_option"), f" {suffix}")
+
+
+EC2 = [
+    (_A(_L("%BoxUsage%"), _N("%HostBoxUsage%")), _fam("[Compute]")),
+    (_L("%SpotUsage%"), _fam("[Compute]")),
+    (_L("%HostBoxUsage%"), _fam("Dedicated Host Instance [Compute]")),
+    (_A(_L("%HostUsage%"), _N("%HostBoxUsage%")), "EC2 Dedicated Host Provisioned [Compute]"),
+    (_L("%ReservedHostUsage%"), "EC2 Reserved Dedicated Host [Compute]"),
+    (_L("%DedicatedUsage%"), _fam("Dedicated Instance [Compute]")),
+    (_L("%EBSOptimized%"), _fam("EBS Optimization [Compute]")),
+    (_A(_L("%Reservation%"), _N("%CapacityReservation%")), _fam("Capacity Reservation [Compute]")),
+    (_L("%UnusedBox%"), _fam("Unused Capacity Reservation [Compute]")),
+    (_L("%DedicatedRes%"), _fam("Dedicated Capacity Reservation [Compute]")),
+    (_L("%UnusedDed%"), _fam("Unused Dedicated Capacity Reservation [Compute]")),
+    (_L("%HeavyUsage%"), _fam("Reserved (Legacy) [Compute]")),
+    (_L("%ReservedInstancesUsage%"), _fam("Reserved (Legacy) [Compute]")),
+] + like_rules(UT, [
+    ("%CPUCredits%", "EC2 CPU Credits [Compute]"),
+    ("%ElasticIP%", "EC2 Elastic IP [Network]"),
+    ("%AdditionalAddress%", "EC2 Elastic IP [Network]"),
+    ("%DataTransfer-Out%", "EC2 Data Transfer Out [Network]"),
+    ("%DataTransfer-In%", "EC2 Data Transfer In [Network]"),
+    ("%DataTransfer-Regional%", "EC2 Data Transfer Regional [Network]"),
+    ("%AWS-Out-Bytes%", "EC2 Data Transfer Out [Network]"),
+    ("%AWS-In-Bytes%", "EC2 Data Transfer In [Network]"),
+    ("%DataXfer%", "EC2 Data Transfer [Network]"),
+    ("%LoadBalancer%", "EC2 Load Balancer [Network]"),
+    ("%ELB%", "EC2 Load Balancer [Network]"),
+    ("%NatGateway%", "EC2 NAT Gateway [Network]"),
+    ("%VPN%", "EC2 VPN [Network]"),
+    ("%VpnConnection%", "EC2 VPN [Network]"),
+]) + [(_L("%EBS:%"), ("rules", _EBS, _EBS_DEFAULT))] + like_rules(UT, [
+    ("%InstanceStore%", "EC2 Instance Storage [Storage]"),
+    ("%CloudWatchMonitoring%", "EC2 CloudWatch Monitoring [Management]"),
+    ("%InstanceConnect%", "EC2 Instance Connect [Management]"),
+    ("%ImageBuilder%", "EC2 Image Builder [Management]"),
+    ("%SystemsManager%", "EC2 Systems Manager [Management]"),
+    ("%CapacityReservation%", "EC2 Capacity Reservation [Compute]"),
+    ("%SavingsPlans%", "EC2 Savings Plans [Compute]"),
+])
+EC2_DEFAULT = "EC2 [Other]"

@@ -166,3 +166,10 @@ _BN = ("lower", "bucket_name")
 BUCKET_NAME = ([(("and", ("rlike", _BN, r"\b(athena)\b"), ("rlike", _BN, r"\b(results|query)\b")), "athena_results")]
                + [(("rlike", _BN, rx), label) for rx, label in BUCKET_KEYWORDS])
 BUCKET_NAME_DEFAULT = "none"
+
+# ---- EFS ----------------------------------------------------------------------------------------------
+EFS = like_rules(UT, [("%TimedStorage-%", "EFS Standard Storage [Storage]"),
+                      ("%IATimedStorage-%", "EFS Infrequent Access Storage [Storage]")]) + [
+    (("or", ("like", UT, "%ArchiveTimedStorage-%"), ("like", UT, "%ArchiveEarlyDelete-%")), "EFS Archive Storage [Storage]"),
+] + like_rules(UT, [("%DataAccess-Bytes%", "EFS Data Access [Management]"), ("%TP-MiBpsHrs%", "EFS Throughput [Management]"),
+                    ("%AWS-Out-Bytes%", "EFS Data Transfer [Network]")])

@@ -14,7 +14,10 @@ from costlake.oracle import storage as oracle_storage
 from costlake.oracle import database as oracle_database
 from costlake.oracle import checks as oracle_checks
 from costlake.oracle import compute as oracle_compute
+from costlake.oracle import classify as oracle_classify
 from costlake.oracle import normalize as oracle_normalize
+from costlake.operators import classify
+from costlake.functions.classify.catalog import FAMILIES
 from costlake.operators import freshness, normalize
 from costlake.sources.fixture import events_billing
 from costlake.operators import checks
@@ -185,6 +188,8 @@ QUERIES.update({
     "hourly_freshness_stats": _freshness,
     "snapshot_scd2": _snapshot,
 })
+QUERIES.update({f"classify_{fam}": (lambda m, _f=fam: classify.usage_category_rollup(m.silver, _f)) for fam in FAMILIES})
+QUERIES["classify_all"] = lambda m: classify.classify_all(m.silver)
 
 
 def ORACLE() -> dict[str, str]:
@@ -197,6 +202,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_compute.oracle())
     out.update(oracle_checks.oracle())
     out.update(oracle_normalize.oracle())
+    out.update(oracle_classify.oracle())
     return out
 
 
