@@ -161,7 +161,9 @@ def prefix(extra: list[tuple[str, str]] | None = None) -> str:
         ("silver", "SELECT * FROM silver_all WHERE NOT is_split_allocation"),
     ]
     ctes += extra or []
-    return "WITH " + ",\n".join(f"{name} AS (\n{body}\n)" for name, body in ctes)
+    # NOT MATERIALIZED: inline every CTE (DuckDB 2.0 can fail with an internal error that invalidates
+    # the connection when a materialised CTE is scanned several times)
+    return "WITH " + ",\n".join(f"{name} AS NOT MATERIALIZED (\n{body}\n)" for name, body in ctes)
 
 
 def query(final: str, *extra: tuple[str, str]) -> str:

@@ -79,6 +79,19 @@ TEMPLATES = [
     (55, "AmazonEKS", "AmazonEKS", "Compute", "AmazonEKS-Hours:perCluster", "CreateOperation", "arn:aws:eks:{r}:{a}:cluster/prod-", "", "", "", "", "", "", "", "", "Hours", "Amazon EKS cluster usage", "", "", "", "", "", "", "AWS"),
     (56, "AmazonEKS", "AmazonEKS", "Compute", "AmazonEKS-Hours:extendedSupport", "CreateOperation", "arn:aws:eks:{r}:{a}:cluster/legacy-", "", "", "", "", "", "", "", "", "Hours", "Amazon EKS extended support", "", "", "", "", "", "", "AWS"),
     (58, "AmazonEC2", "AmazonEC2", "Compute", "EKS-EC2-vCPU-Hours", "EKSPod-EC2", "arn:aws:eks:{r}:{a}:cluster/prod-", "", "", "", "", "", "", "", "", "vCPU-Hours", "EKS pod split cost allocation (vCPU)", "", "", "", "", "", "", "AWS"),
+    (59, "AmazonSNS", "AmazonSNS", "Message Delivery", "DeliveryAttempts-HTTP", "Notification", "arn:aws:sns:{r}:{a}:alerts-", "", "", "", "", "", "", "", "", "Notifications", "SNS HTTP deliveries", "", "", "", "", "", "", "AWS"),
+    (60, "AWSQueueService", "AWSQueueService", "API Request", "Requests-Tier1", "GetQueueAttributes", "arn:aws:sqs:{r}:{a}:jobs-", "", "", "", "", "", "", "", "", "Requests", "SQS standard requests", "", "", "", "", "", "", "AWS"),
+    (61, "AmazonSageMaker", "AmazonSageMaker", "ML Instance", "Host:ml.m5.large", "RunInstance", "arn:aws:sagemaker:{r}:{a}:endpoint/model-", "ml.m5.large", "", "", "", "", "", "2", "8 GiB", "Hrs", "SageMaker hosting ml.m5.large", "", "", "", "", "", "", "AWS"),
+    (62, "AmazonBedrock", "AmazonBedrock", "Machine Learning", "TitanText-input-tokens", "InvokeModel", "", "", "", "", "", "", "", "", "", "1K tokens", "Bedrock text input tokens", "", "", "", "", "", "", "AWS"),
+    (63, "AmazonGuardDuty", "AmazonGuardDuty", "Security Services", "PaidEventsAnalyzed", "None", "", "", "", "", "", "", "", "", "", "Events", "GuardDuty CloudTrail events analyzed", "", "", "", "", "", "", "AWS"),
+    (64, "awskms", "awskms", "Encryption Key", "KMS-Requests", "Decrypt", "arn:aws:kms:{r}:{a}:key/k-", "", "", "", "", "", "", "", "", "Requests", "KMS requests", "", "", "", "", "", "", "AWS"),
+    (65, "AWSSecretsManager", "AWSSecretsManager", "Secret", "AWSSecretsManager-Secrets", "StoreSecret", "arn:aws:secretsmanager:{r}:{a}:secret:db-", "", "", "", "", "", "", "", "", "Secrets", "Secrets stored", "", "", "", "", "", "", "AWS"),
+    (66, "AWSCloudTrail", "AWSCloudTrail", "Management Tools - AWS CloudTrail Data Events Recorded", "DataEventsRecorded", "None", "", "", "", "", "", "", "", "", "", "Events", "CloudTrail data events", "", "", "", "", "", "", "AWS"),
+    (67, "AmazonEFS", "AmazonEFS", "Storage", "TimedStorage-ByteHrs", "Storage", "arn:aws:elasticfilesystem:{r}:{a}:file-system/fs-", "", "", "", "", "", "", "", "", "GB-Mo", "EFS standard storage", "", "", "", "", "", "", "AWS"),
+    (68, "AmazonRoute53", "AmazonRoute53", "DNS Query", "DNS-Queries", "Query", "arn:aws:route53:::hostedzone/Z", "", "", "", "", "", "", "", "", "Queries", "Route 53 standard queries", "", "", "", "", "", "", "AWS"),
+    (69, "AmazonCloudFront", "AmazonCloudFront", "Data Transfer", "DataTransfer-Out-Bytes", "GET", "arn:aws:cloudfront::{a}:distribution/E", "", "", "", "", "", "", "", "", "GB", "CloudFront data transfer out", "", "", "", "", "", "", "AWS"),
+    (70, "AWSGlue", "AWSGlue", "AWS Glue", "ETL-DPU-Hour", "Jobrun", "arn:aws:glue:{r}:{a}:job/etl-", "", "", "", "", "", "", "", "", "DPU-Hour", "Glue ETL job DPU hours", "", "", "", "", "", "", "AWS"),
+    (71, "AmazonAthena", "AmazonAthena", "Serverless", "DataScannedInTB", "RunQuery", "arn:aws:athena:{r}:{a}:workgroup/primary", "", "", "", "", "", "", "", "", "Terabytes", "Athena data scanned", "", "", "", "", "", "", "AWS"),
     (57, "AmazonRDS", "AmazonRDS", "Database Instance", "ExtendedSupport:Yr3:PostgreSQL11", "CreateDBInstance:0014", "arn:aws:rds:{r}:{a}:db:pg-legacy-", "", "PostgreSQL", "", "", "", "", "", "", "vCPU-Hours", "RDS Extended Support Year 3 for PostgreSQL 11", "", "", "", "", "", "", "AWS"),
 ]
 
