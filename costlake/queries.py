@@ -15,8 +15,10 @@ from costlake.oracle import database as oracle_database
 from costlake.oracle import checks as oracle_checks
 from costlake.oracle import compute as oracle_compute
 from costlake.oracle import classify as oracle_classify
+from costlake.oracle import io as oracle_io
 from costlake.oracle import normalize as oracle_normalize
 from costlake.operators import classify
+from costlake.plans import io
 from costlake.functions.classify.catalog import FAMILIES
 from costlake.operators import freshness, normalize
 from costlake.sources.fixture import events_billing
@@ -190,6 +192,15 @@ QUERIES.update({
 })
 QUERIES.update({f"classify_{fam}": (lambda m, _f=fam: classify.usage_category_rollup(m.silver, _f)) for fam in FAMILIES})
 QUERIES["classify_all"] = lambda m: classify.classify_all(m.silver)
+QUERIES.update({
+    "scan_cur": lambda m: io.bronze_projection(m.bronze),
+    "unify_tags": lambda m: io.tag_pairs(m.bronze),
+    "derive_billing_period": lambda m: io.billing_period_from_year_month(m.raw),
+    "period_filter": lambda m: io.period_window_costs(m.silver, m.as_of),
+    "date_spine": lambda m: io.date_spine_months(m.silver, m.as_of),
+    "tag_key_discovery": lambda m: io.discovered_tag_keys(m.silver),
+    "sink_incremental_overwrite": lambda m: io.incremental_round_trip(m.service_daily, m.as_of),
+})
 
 
 def ORACLE() -> dict[str, str]:
@@ -203,6 +214,7 @@ def ORACLE() -> dict[str, str]:
     out.update(oracle_checks.oracle())
     out.update(oracle_normalize.oracle())
     out.update(oracle_classify.oracle())
+    out.update(oracle_io.oracle())
     return out
 
 
