@@ -123,8 +123,11 @@ def _values(rows, cols) -> str:
     return f"(VALUES\n    {body}\n) AS t({', '.join(cols)})"
 
 
-def cur_source_sql() -> str:
-    """Portable (Spark + DuckDB) SQL producing the billing-export-shaped rows."""
+def cur_source_sql(names: dict[str, str] | None = None) -> str:
+    """Portable (Spark + DuckDB) SQL producing the billing-export-shaped rows. ``names`` maps the
+    driver table names to the relation names to read (default: the names themselves)."""
+    names = names or {}
+    lineitem, orders, customer, part = (names.get(t, t) for t in ("lineitem", "orders", "customer", "part"))
     n = len(TEMPLATES)
     tpl = _values(TEMPLATES, TEMPLATE_COLS)
     reg = _values(REGION_SLOTS, ["ridx", "reg", "pfx", "locname"])
@@ -251,10 +254,10 @@ FROM (
                   WHEN l.l_orderkey % 3 = 0 THEN 'SavingsPlanUpfrontFee'
                   ELSE 'RIFee' END
          END AS ct
-  FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  FROM {lineitem} l
+  JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+  JOIN {customer} c ON o.o_custkey = c.c_custkey
+  JOIN {part} p ON l.l_partkey = p.p_partkey
 ) s
 JOIN {tpl} ON s.tid = t.tid
 JOIN {reg.replace('AS t(', 'AS r(')} ON s.ridx = r.ridx
@@ -266,22 +269,29 @@ JOIN {reg.replace('AS t(', 'AS r(')} ON s.ridx = r.ridx
 FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
 
 
-def register_driver_tables(spark: SparkSession, sf_dir: str, tables=TABLES) -> None:
+def register_driver_tables(spark: SparkSession, sf_dir: str, tables=TABLES) -> dict[str, str]:
+    """Temp views over the driver tables of ``sf_dir``; names are unique per directory so queries on
+    different scale factors can run side by side in one session. Returns table -> view name."""
+    import hashlib
+
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
     parallelism = max(spark.sparkContext.defaultParallelism, 1) * 2
+    names = {}
     for name in tables:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         if name in FACT_KEYS:
             df = df.repartition(parallelism, FACT_KEYS[name])
-        df.createOrReplaceTempView(name)
+        names[name] = f"costlake_{tag}_{name}"
+        df.createOrReplaceTempView(names[name])
+    return names
 
 
 def cur_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw billing-export-shaped DataFrame over the driver tables in ``sf_dir``."""
-    register_driver_tables(spark, sf_dir)
-    return spark.sql(cur_source_sql())
+    return spark.sql(cur_source_sql(register_driver_tables(spark, sf_dir)))
 
 
-def events_billing_sql() -> str:
+def events_billing_sql(events: str = "events") -> str:
     """Hourly billing lines shaped from ``events`` (sub-second timestamps of one month): timestamp ->
     usage date, value -> cost, user -> payer account, event type -> charge type."""
     return """
@@ -290,10 +300,12 @@ SELECT e.ts AS usage_date,
   CASE e.event_type WHEN 'purchase' THEN 'Usage' WHEN 'click' THEN 'Usage' WHEN 'view' THEN 'DiscountedUsage'
        WHEN 'signup' THEN 'Fee' ELSE 'Tax' END AS charge_type,
   CAST(CAST(e.value AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS unblended_cost
-FROM events e
-"""
+FROM {events} e
+""".replace("{events}", events)
 
 
 def events_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_driver_tables(spark, sf_dir, tables=("events",))
-    return spark.sql(events_billing_sql()).withColumn("usage_date", __import__("pyspark.sql.functions", fromlist=["col"]).col("usage_date").cast("timestamp"))
+    from pyspark.sql import functions as F
+
+    names = register_driver_tables(spark, sf_dir, tables=("events",))
+    return spark.sql(events_billing_sql(names["events"])).withColumn("usage_date", F.col("usage_date").cast("timestamp"))
