@@ -93,19 +93,23 @@ def kinesis_optimization_monthly(silver: DataFrame, period: PeriodRange | None =
 
 
 def support_chargeback_monthly(cost_daily: DataFrame, period: PeriodRange | None = None) -> DataFrame:
-    """Support cost allocated to accounts by their share of non-support cost. The month totals have
-    one row per month (broadcast); the account sums are a hash aggregate."""
+    """Support cost allocated to accounts by their share of non-support cost.
+
+    One pass: a hash aggregate per (month, payer, account) of non-support and support cost, then the
+    month totals as window sums over those account rows (a month's window partition holds one row
+    per account), so the line items are read once and nothing is joined back."""
     src = period_filter(cost_daily, period).where(F.col("charge_type") != "Tax")
     is_support = F.col("service_code").isin(SUPPORT_CODES)
-    totals = (src.groupBy(_trunc("month"), "billing_period")
-              .agg(sum_when(~is_support, "total_effective_cost").alias("base"),
-                   sum_when(is_support, "total_effective_cost").alias("support")))
-    accounts = (src.where(~is_support)
-                .groupBy(_trunc("month"), "payer_account_id", "account_id", "billing_period")
-                .agg(F.sum("total_effective_cost").alias("account_effective_cost")))
-    j = accounts.join(F.broadcast(totals), ["usage_date", "billing_period"], "inner")
-    share = safe_div("account_effective_cost", "base")
-    return j.select(
+    acct = (src.groupBy(_trunc("month"), "billing_period", "payer_account_id", "account_id")
+            .agg(sum_when(~is_support, "total_effective_cost").alias("account_effective_cost"),
+                 sum_when(is_support, "total_effective_cost").alias("_support"),
+                 F.sum(F.when(~is_support, 1).otherwise(0)).alias("_base_rows")))
+    month = Window.partitionBy("usage_date", "billing_period")
+    base = F.sum("account_effective_cost").over(month)
+    support = F.sum("_support").over(month)
+    share = F.try_divide(F.col("account_effective_cost").cast("double"), base.cast("double"))
+    return acct.select(
         "usage_date", "payer_account_id", "account_id", "account_effective_cost",
-        round_half_up(F.col("support").cast("double") * share, 2).alias("allocated_support_effective_cost"),
-        round_half_up(share * 100, 2).alias("effective_cost_percentage"), "billing_period")
+        round_half_up(support.cast("double") * share, 2).alias("allocated_support_effective_cost"),
+        round_half_up(share * 100, 2).alias("effective_cost_percentage"), "billing_period", "_base_rows",
+    ).where(F.col("_base_rows") > 0).drop("_base_rows")
