@@ -60,8 +60,10 @@ def incremental_round_trip(service_daily: DataFrame, as_of: _dt.date, name: str
     """Full refresh of the model into a billing_period-partitioned table in the shared checkpoint
     folder, then an incremental refresh of the last six periods (dynamic partition overwrite), and the
     table read back: it must equal the model."""
+    import uuid
+
     base = ensure_checkpoint_dir(service_daily.sparkSession)
-    path = os.path.join(base, "tables", name)
+    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")  # one table per run
     write_incremental(service_daily, path, mode="overwrite")
     write_incremental(period_filter(service_daily, billing_period_range(as_of)), path, mode="dynamic")
     return service_daily.sparkSession.read.parquet(path).select(*service_daily.columns)
