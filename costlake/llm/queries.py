@@ -5,13 +5,39 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import bpe, chat
+from costlake.llm import bpe, chat, fingerprint, jaccard, packing, quality_rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of five-word shingle sets with a Jaccard similarity of 0.8 or more."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), 80, 5)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 1024 tokens, each in the corpus's own mixture of sources."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), path, 1024, 128)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document; a shard holds at most 4 MiB of text."""
+    return sharding.shards(table(spark, sf_dir, "documents"), 4 << 20)
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprint.edited(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and whether the adaptive rules keep it."""
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back from the output."""
     tricky = "\\### Assistant: </turn> ok"
@@ -28,6 +54,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard": op1_jaccard,
+    "op2_packing": op2_packing,
+    "op3_sharding": op3_sharding,
+    "op5_fingerprint": op5_fingerprint,
+    "op6_quality_rules": op6_quality_rules,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
 }
