@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import bpe, chat, fingerprint, jaccard, packing, quality_rules, sharding
+from costlake.llm import bpe, chat, cotraining, fingerprint, html, jaccard, packing, quality_rules, repeats, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), 4 << 20)
 
 
+def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's scores by a classifier that is co-trained on the labels, and whether it is kept."""
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.scored(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return fingerprint.edited(table(spark, sf_dir, "documents"))
@@ -38,6 +44,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without bytes covered by a 100-byte string that also starts earlier."""
+    return repeats.removed(table(spark, sf_dir, "documents"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back from the output."""
     tricky = "\\### Assistant: </turn> ok"
@@ -57,8 +73,11 @@ QUERIES = {
     "op1_jaccard": op1_jaccard,
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
+    "op4_cotraining": op4_cotraining,
     "op5_fingerprint": op5_fingerprint,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html": op7_html,
+    "op8_repeats": op8_repeats,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
 }
