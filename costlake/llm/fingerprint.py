@@ -74,8 +74,9 @@ def sums(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row for each row of ``rows`` (``keys`` must tell them apart): keys, paragraph lanes ``p`` (array of
     8 longs), ``n`` pieces and ``packed`` (array of 64 longs, four lanes each). If rows are dealt out by some
     of the keys, this needs no shuffle."""
-    marked = rows.select(*keys, F.array(*_paragraph_lanes(F.col(text))).alias("p"),
-                         F.posexplode_outer(F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0))).alias("pos", "piece"))
+    # The paragraph lanes first: behind the generator they would be made anew for each piece.
+    whole = rows.select(*keys, F.array(*_paragraph_lanes(F.col(text))).alias("p"), F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("pieces"))
+    marked = whole.select(*keys, "p", F.posexplode_outer("pieces").alias("pos", "piece"))
     block = F.coalesce(F.floor(F.col("pos") / BLOCK), F.lit(0)).cast("int")
     names = [f"s{i}" for i in range(LANES // 4)]
     by_block = marked.groupBy(*keys, "p", block.alias("block")).agg(
