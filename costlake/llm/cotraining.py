@@ -1,6 +1,6 @@
 """Quality classifier by co-training two views of a document.
 
-The text view sees hashed words, word endings, and how repetitive and how upper-case the text is; the metadata
+The text view sees hashed words, their beginnings and endings, and how repetitive and how upper-case the text is; the metadata
 view sees language, source, length and line lengths only. A document is good if it is labelled of quality and
 not toxic. Both views are logistic regressions on hashed features.
 
@@ -8,10 +8,12 @@ Fitting uses a bounded sample: at most ``max_labelled`` labelled documents and a
 both chosen by a hash of the id. A quarter of the labelled ones is held out. In each round both views are
 fitted and calibrated on the held-out part (Platt scaling); then each view labels the documents of the pool
 it is most confident of, and these join the other view's training set. At last the two calibrated views are
-combined by a logistic regression on the held-out part. Features seen in fewer than three training documents
-have no weight, so rare words don't decide.
+combined by a logistic regression on the held-out part. Only telling features have a weight: those seen in three
+training documents or more whose share of bad documents differs from the whole by 3.5 standard errors. Weights
+add up over a text whatever its length, so one insult among thousands of plain words counts as in a short text.
 
-Scoring covers all documents in one pass; the models (about 2 MB) go along with the tasks.
+Scoring covers all documents in one pass; the models (about 2 MB) go along with the tasks. A document is kept
+unless its probability of being good is below 0.4: doubt speaks for the document.
 
 Without labels, or with labels of one class only, there is no model: scores are 1 and all are kept. Null or
 empty texts have the features of an empty text; null metadata are values of their own. A document with
@@ -35,7 +37,9 @@ from costlake.llm.frames import added, arrow_map, stored, texts, with_new
 from costlake.llm.text import U, chunks, mix
 
 TEXT_BITS, META_BITS = 18, 13
-LEAST_SEEN = 3
+LEAST_SEEN, SURE = 3, 3.5
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[0x41:0x5B] += 0x20
 
 
 @dataclass
@@ -57,10 +61,14 @@ class View:
                     np.concatenate(parts) if parts else np.zeros(0, np.int32))
 
     def logits(self, weights: np.ndarray) -> np.ndarray:
-        """Row sums of weights over the square root of the row's length; the last weight is the intercept."""
-        size = np.diff(self.start)
+        """Row sums of weights; the last weight is the intercept."""
         total = np.concatenate([[0.0], np.cumsum(weights[self.index], dtype=np.float64)])
-        return (total[self.start[1:]] - total[self.start[:-1]]) / np.sqrt(np.maximum(size, 1)) + weights[-1]
+        return total[self.start[1:]] - total[self.start[:-1]] + weights[-1]
+
+    def only(self, features: np.ndarray) -> View:
+        """The same rows with some features left."""
+        keep = features[self.index]
+        return View(np.concatenate([[0], np.cumsum(keep)])[self.start], self.index[keep])
 
 
 def _bucket(value: np.ndarray, steps: int) -> np.ndarray:
@@ -79,6 +87,12 @@ def text_features(docs: list[bytes]) -> list[np.ndarray]:
         with np.errstate(over="ignore"):
             # The last three bytes of each word (fewer: what stands there), whatever the word.
             tail = mix((raw[end - 1] << U(16) | raw[np.maximum(end - 2, 0)] << U(8) | raw[np.maximum(end - 3, 0)]) + U(1 << 40))
+            # The first four and five bytes, A-Z folded: words of one stem share them.
+            starts = []
+            for k in (4, 5):
+                at = np.minimum(words.starts[:, None] + np.arange(k), len(raw) - 1) if len(doc) else np.zeros((0, k), np.int64)
+                head = np.where(np.arange(k) < (words.ends - words.starts)[:, None], FOLD[words.bytes[at]], 0).astype(U)
+                starts.append(mix((head << (U(8) * np.arange(k, dtype=U))).sum(axis=1, dtype=U) + U(k) * U(1 << 42)))
         single = np.zeros(len(doc), bool)
         single[1:] = (words.hashes[1:] == words.hashes[:-1]) & (doc[1:] == doc[:-1])
         upper = (words.bytes[words.starts] >= 0x41) & (words.bytes[words.starts] <= 0x5A) if len(doc) else single
@@ -87,8 +101,8 @@ def text_features(docs: list[bytes]) -> list[np.ndarray]:
         for k, flags in enumerate((single, upper, words.ends - words.starts > 12)):
             share = np.bincount(doc[flags], minlength=n) / per
             shape.append(mix((_bucket(share, 10) + (k + 1) * 1000).astype(U) + U(1 << 41)))
-        distinct = np.concatenate([words.hashes & size, tail & size, *(s & size for s in shape)])
-        of = np.concatenate([doc, doc, *(np.arange(n) for _ in shape)])
+        distinct = np.concatenate([words.hashes & size, tail & size, *(s & size for s in starts), *(s & size for s in shape)])
+        of = np.concatenate([doc] * 4 + [np.arange(n)] * 3)
         pairs = np.unique(of.astype(np.int64) << TEXT_BITS | distinct.astype(np.int64))
         at = np.searchsorted(pairs >> TEXT_BITS, np.arange(n + 1))
         index = (pairs & ((1 << TEXT_BITS) - 1)).astype(np.int32)
@@ -108,24 +122,25 @@ def meta_features(docs: list[bytes], lang: list, source: list, chars: list) -> l
     return out
 
 
-def fit(view: View, good: np.ndarray, bits: int, rounds: int = 120, shrink: float = 1e-4) -> np.ndarray:
-    """Logistic regression by full-batch AdaGrad; the last weight is the intercept."""
-    n, size = len(good), np.diff(view.start)
-    weights, squares = np.zeros((1 << bits) + 1), np.full((1 << bits) + 1, 1e-8)
-    seen = np.bincount(view.index, minlength=1 << bits) >= LEAST_SEEN
-    scale = 1 / np.sqrt(np.maximum(size, 1))
-    share = good.mean()
-    weights[-1] = np.log(share / (1 - share))
-    each = np.where(good, 0.5 / max(good.sum(), 1), 0.5 / max((~good).sum(), 1)) * n  # classes weigh the same
-    weights[-1] = 0.0
+def telling(view: View, good: np.ndarray, bits: int) -> np.ndarray:
+    """The features whose share of bad documents differs from the whole by SURE standard errors or more."""
+    n, of = len(good), np.repeat(good, np.diff(view.start))
+    seen = np.bincount(view.index, minlength=1 << bits)
+    bad = seen - np.bincount(view.index[of], minlength=1 << bits)
+    share = 1 - good.mean()
+    error = np.sqrt(np.maximum(seen * share * (1 - share) * (1 - seen / n), 1e-9))
+    return (seen >= LEAST_SEEN) & (np.abs(bad - seen * share) >= SURE * error)
+
+
+def fit(view: View, good: np.ndarray, bits: int, rounds: int = 100, shrink: float = 1e-4) -> np.ndarray:
+    """Logistic regression on the telling features by full-batch AdaGrad; the last weight is the intercept."""
+    n, view = len(good), view.only(telling(view, good, bits))
+    weights, squares, size = np.zeros((1 << bits) + 1), np.full((1 << bits) + 1, 1e-8), np.diff(view.start)
     for _ in range(rounds):
-        error = (1 / (1 + np.exp(-np.clip(view.logits(weights), -30, 30))) - good) * each
-        step = np.empty_like(weights)
-        step[:-1] = np.bincount(view.index, weights=np.repeat(error * scale, size), minlength=1 << bits) / n
-        step[:-1] = np.where(seen, step[:-1] + shrink * weights[:-1], 0.0)
-        step[-1] = error.mean()
+        error = _p(view.logits(weights)) - good
+        step = np.append(np.bincount(view.index, weights=np.repeat(error, size), minlength=1 << bits) / n + shrink * weights[:-1], error.mean())
         squares += step * step
-        weights -= 0.5 * step / np.sqrt(squares)
+        weights -= 0.3 * step / np.sqrt(squares)
     return weights
 
 
@@ -263,7 +278,7 @@ def _scores(model: Model | None, at: tuple[int, ...], prefix: str, only: bool):
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang",
-           source: str = "source", chars: str = "n_chars", least: float = 0.5) -> DataFrame:
+           source: str = "source", chars: str = "n_chars", least: float = 0.4) -> DataFrame:
     """id, text_score, meta_score, score (the combined probability of a good document) and kept of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate((text_col, lang, source))],
@@ -273,7 +288,7 @@ def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
 
 
 def filtered(docs: DataFrame, model: Model | None, text_col: str = "text", lang: str = "lang", source: str = "source",
-             chars: str = "n_chars", least: float = 0.5) -> DataFrame:
+             chars: str = "n_chars", least: float = 0.4) -> DataFrame:
     """The documents that are kept, with the columns they came with."""
     prefix = "_c_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
