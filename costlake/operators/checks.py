@@ -97,36 +97,31 @@ def check_expression(df: DataFrame, expression: str) -> DataFrame:
 
 # ---- singular tests ------------------------------------------------------------------------------
 
-def check_cost_hierarchy(serve: DataFrame, limit: int = 100) -> DataFrame:
-    """list >= billed >= effective on every daily service row; worst ``limit`` by date and cost."""
+def check_cost_hierarchy(serve: DataFrame) -> DataFrame:
+    """list >= billed >= effective on every daily service row: all rows that break it."""
     lst, bil, eff = F.col("total_list_cost"), F.col("total_billed_cost"), F.col("total_effective_cost")
     src = serve.where(lst.isNotNull() & bil.isNotNull() & eff.isNotNull()).where((lst < bil) | (bil < eff))
     violation = F.concat_ws(", ", F.when(lst < bil, "List cost < Billed cost"),
                             F.when(bil < eff, "Billed cost < Effective cost"))
     return (src.select("usage_date", "account_id", "service_code", "total_list_cost", "total_billed_cost",
-                       "total_effective_cost", violation.alias("violation_type"))
-            .orderBy(F.col("usage_date").desc(), F.col("total_effective_cost").desc(), "account_id", "service_code")
-            .limit(limit))
+                       "total_effective_cost", violation.alias("violation_type")))
 
 
-def check_negative_costs(serve: DataFrame, limit: int = 100) -> DataFrame:
+def check_negative_costs(serve: DataFrame) -> DataFrame:
     eff, bil, lst = F.col("total_effective_cost"), F.col("total_billed_cost"), F.col("total_list_cost")
     issue = F.concat_ws(", ", F.when(eff < 0, "Negative effective cost"), F.when(bil < 0, "Negative billed cost"),
                         F.when(lst < 0, "Negative list cost"))
     return (serve.where((eff < 0) | (bil < 0) | (lst < 0))
             .select("usage_date", "account_id", "service_code", "total_effective_cost", "total_billed_cost",
-                    "total_list_cost", issue.alias("issue_type"))
-            .orderBy(F.col("usage_date").desc(), F.col("total_effective_cost").asc(), "account_id", "service_code")
-            .limit(limit))
+                    "total_list_cost", issue.alias("issue_type")))
 
 
-def check_period_consistency(serve: DataFrame, limit: int = 100) -> DataFrame:
+def check_period_consistency(serve: DataFrame) -> DataFrame:
     calc = F.date_format("usage_date", "yyyy-MM")
     return (serve.where(F.col("usage_date").isNotNull() & F.col("billing_period").isNotNull())
             .where(F.col("billing_period") != calc)
             .select("usage_date", "billing_period", calc.alias("calculated_billing_period"), "account_id",
-                    "service_code", F.lit("Billing period mismatch").alias("issue_type"))
-            .orderBy(F.col("usage_date").desc(), "account_id", "service_code").limit(limit))
+                    "service_code", F.lit("Billing period mismatch").alias("issue_type")))
 
 
 def check_account_metadata(serve: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -148,7 +143,7 @@ def _unmapped_summary(df: DataFrame, keys: list, cost: str, date: str, first: st
 def check_unmapped_products(cost_daily: DataFrame, products: DataFrame, period: PeriodRange | None = None) -> DataFrame:
     src = period_filter(cost_daily, period).where(F.col("service_code").isNotNull())
     codes = products.select(F.col("product_code").alias("_code"))
-    unmapped = src.join(F.broadcast(codes), src["service_code"] == codes["_code"], "left_anti")
+    unmapped = src.join(codes, src["service_code"] == codes["_code"], "left_anti")
     return _unmapped_summary(unmapped, ["service_code"], "total_effective_cost", "usage_date", "first_seen_date",
                              "last_seen_date")
 
@@ -165,7 +160,7 @@ def check_unmapped_families(hourly: DataFrame, modernization: DataFrame, period:
                      F.col("service_code")).otherwise("AmazonEC2")
     src = src.withColumn("product", product)
     seed = modernization.select(F.col("family").alias("_f"), F.col("product").alias("_p"))
-    unmapped = src.join(F.broadcast(seed), (src["instance_type_family"] == seed["_f"]) & (src["product"] == seed["_p"]),
+    unmapped = src.join(seed, (src["instance_type_family"] == seed["_f"]) & (src["product"] == seed["_p"]),
                         "left_anti")
     return _unmapped_summary(unmapped, ["instance_type_family", "product"], "effective_cost", "usage_date",
                              "first_seen_date", "last_seen_date")
@@ -175,17 +170,13 @@ def check_invoice_complete(invoice_monthly: DataFrame, as_of: _dt.date, min_day:
     """Previous month's invoices without an id, evaluated from day ``min_day`` of the month on.
     One aggregated row when it fails, none otherwise."""
     prev = (as_of.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
-    spark = invoice_monthly.sparkSession
-    if as_of.day < min_day:
-        return spark.createDataFrame([], "total_invoices bigint, missing_invoice_ids bigint, "
-                                         "incomplete_invoices bigint, current_day int")
     src = invoice_monthly.where(F.to_date("billing_period_start_date") == F.lit(prev))
     iid = F.col("invoice_id")
     res = src.agg(F.count(F.lit(1)).alias("total_invoices"),
                   F.sum(F.when(iid.isNull() | (iid == ""), 1).otherwise(0)).alias("missing_invoice_ids"),
                   F.sum(F.when(~F.col("is_invoice_complete"), 1).otherwise(0)).alias("incomplete_invoices"),
                   F.lit(as_of.day).alias("current_day"))
-    return res.where((F.col("missing_invoice_ids") > 0) | (F.col("incomplete_invoices") > 0))
+    return res.where(F.lit(as_of.day >= min_day) & ((F.col("missing_invoice_ids") > 0) | (F.col("incomplete_invoices") > 0)))
 
 
 # ---- severity gate -----------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,13 +15,10 @@ def tag_keys(df: DataFrame, tags_col: str = "resource_tags") -> DataFrame:
             .distinct())
 
 
-def discover_tag_keys(df: DataFrame, limit: int | None = None, tags_col: str = "resource_tags") -> list[str]:
-    """Tag keys as a sorted Python list. Only the distinct key set (metadata, not rows) reaches the
-    driver; ``limit`` keeps the first keys in sorted order (deterministic)."""
-    keys = tag_keys(df, tags_col).orderBy("tag_key")
-    if limit is not None:
-        keys = keys.limit(limit)
-    return [r["tag_key"] for r in keys.collect()]
+def discover_tag_keys(df: DataFrame, tags_col: str = "resource_tags") -> list[str]:
+    """All tag keys as a sorted Python list, for models with one column per key. Only the distinct keys
+    (column names of the result, not rows) reach the driver; a caller narrows by giving keys itself."""
+    return sorted(r["tag_key"] for r in tag_keys(df, tags_col).collect())
 
 
 def flatten_tags(df: DataFrame, keys: list[str], tags_col: str = "resource_tags",
@@ -29,8 +26,13 @@ def flatten_tags(df: DataFrame, keys: list[str], tags_col: str = "resource_tags"
     return df.select("*", *[F.element_at(F.col(tags_col), F.lit(k)).alias(f"{prefix}{k}") for k in keys])
 
 
-def explode_tag_keys(df: DataFrame, keys: list[str], tags_col: str = "resource_tags") -> DataFrame:
-    """One row per (row, key) with the key's value (NULL = untagged); a Generate, not a join."""
-    pairs = F.transform(F.array(*[F.lit(k) for k in keys]),
-                        lambda k: F.struct(k.alias("tag_key"), F.element_at(F.col(tags_col), k).alias("tag_value")))
-    return df.select("*", F.inline(pairs))
+def tag_values(keys: list[str], tags_col: str = "resource_tags") -> Column:
+    """The values of ``keys`` as an array in that order (NULL = untagged); unlike the map it can be grouped by."""
+    return F.array(*[F.element_at(F.col(tags_col), F.lit(k)) for k in keys])
+
+
+def explode_tag_keys(df: DataFrame, keys: list[str], values_col: str) -> DataFrame:
+    """One row per (row, key) with the key's value from ``tag_values``; a Generate, not a join."""
+    pairs = F.zip_with(F.array(*[F.lit(k) for k in keys]), values_col,
+                       lambda k, v: F.struct(k.alias("tag_key"), v.alias("tag_value")))
+    return df.select("*", F.inline(pairs)).drop(values_col)

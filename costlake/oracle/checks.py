@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from costlake.oracle.base import query
-from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, rdec
+from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, _invoice_sql, rdec
 from costlake.oracle.compute import HOURLY, HOURLY_SRC
 from costlake.sources.seeds import seed_values_sql
 
@@ -46,25 +46,41 @@ def oracle() -> dict[str, str]:
                 AS violation_type
             FROM serve
             WHERE total_list_cost IS NOT NULL AND total_billed_cost IS NOT NULL AND total_effective_cost IS NOT NULL
-              AND (total_list_cost < total_billed_cost OR total_billed_cost < total_effective_cost)
-            ORDER BY usage_date DESC, total_effective_cost DESC, account_id, service_code LIMIT 100""", *serve),
+              AND (total_list_cost < total_billed_cost OR total_billed_cost < total_effective_cost)""", *serve),
         "check_negative_costs": query("""
             SELECT usage_date, account_id, service_code, total_effective_cost, total_billed_cost, total_list_cost,
               concat_ws(', ', CASE WHEN total_effective_cost < 0 THEN 'Negative effective cost' END,
                               CASE WHEN total_billed_cost < 0 THEN 'Negative billed cost' END,
                               CASE WHEN total_list_cost < 0 THEN 'Negative list cost' END) AS issue_type
-            FROM serve WHERE total_effective_cost < 0 OR total_billed_cost < 0 OR total_list_cost < 0
-            ORDER BY usage_date DESC, total_effective_cost ASC, account_id, service_code LIMIT 100""", *serve),
+            FROM serve WHERE total_effective_cost < 0 OR total_billed_cost < 0 OR total_list_cost < 0""", *serve),
         "check_period_consistency": query("""
             SELECT usage_date, billing_period, strftime(usage_date, '%Y-%m') AS calculated_billing_period, account_id,
               service_code, 'Billing period mismatch' AS issue_type
             FROM serve WHERE usage_date IS NOT NULL AND billing_period IS NOT NULL
-              AND billing_period <> strftime(usage_date, '%Y-%m')
-            ORDER BY usage_date DESC, account_id, service_code LIMIT 100""", *serve),
+              AND billing_period <> strftime(usage_date, '%Y-%m')""", *serve),
         "check_account_metadata": query("""
             SELECT account_id FROM (SELECT account_id FROM serve WHERE account_id IS NOT NULL
                                     UNION SELECT payer_account_id FROM serve WHERE payer_account_id IS NOT NULL) a
             WHERE NOT EXISTS (SELECT 1 FROM metadata m WHERE m.account_id = a.account_id)""", *serve),
+        "check_invoice_complete": query(f"""
+            SELECT * FROM (SELECT count(*) AS total_invoices, count(*) FILTER (invoice_id IS NULL OR invoice_id = '') AS missing_invoice_ids,
+                count(*) FILTER (NOT is_invoice_complete) AS incomplete_invoices, 20 AS current_day
+              FROM ({_invoice_sql()}) WHERE CAST(billing_period_start_date AS DATE) = DATE '2001-08-01')
+            WHERE missing_invoice_ids > 0 OR incomplete_invoices > 0"""),
+        "severity_gate": query("""
+            SELECT "check", failures, severity,
+              CASE WHEN severity = 'error' AND failures >= error_from THEN 'error'
+                   WHEN failures >= warn_from THEN 'warn' ELSE 'pass' END AS status
+            FROM (SELECT 'cost_hierarchy' AS "check", 'error' AS severity, 1 AS error_from, 50 AS warn_from, (SELECT count(*) FROM serve
+                    WHERE total_list_cost < total_billed_cost OR total_billed_cost < total_effective_cost) AS failures
+                  UNION ALL SELECT 'negative_costs', 'warn', NULL, 10, (SELECT count(*) FROM serve
+                    WHERE total_effective_cost < 0 OR total_billed_cost < 0 OR total_list_cost < 0)
+                  UNION ALL SELECT 'period_consistency', 'error', 1, 1, (SELECT count(*) FROM serve
+                    WHERE billing_period <> strftime(usage_date, '%Y-%m'))
+                  UNION ALL SELECT 'account_metadata', 'warn', NULL, 10, (SELECT count(*) FROM (
+                      SELECT account_id FROM serve WHERE account_id IS NOT NULL
+                      UNION SELECT payer_account_id FROM serve WHERE payer_account_id IS NOT NULL) a
+                    WHERE NOT EXISTS (SELECT 1 FROM metadata m WHERE m.account_id = a.account_id)))""", *serve),
         "check_unmapped_products": query(f"""
             SELECT service_code, {rdec('sum(total_effective_cost)', 2)} AS total_cost, count(*) AS record_count,
               min(usage_date) AS first_seen_date, max(usage_date) AS last_seen_date

@@ -97,16 +97,16 @@ RESOURCE_TAG_KEYS = ["account_id", "payer_account_id", "billing_entity", "legal_
                      "resource_name"]
 
 
-def resource_tag_daily(silver: DataFrame, period: PeriodRange | None = None, tag_keys: list[str] | None = None,
-                       max_keys: int = 100) -> DataFrame:
+def resource_tag_daily(silver: DataFrame, period: PeriodRange | None = None,
+                       tag_keys: list[str] | None = None) -> DataFrame:
     """Running usage with a resource id, one column per discovered tag key (``resource_tags_<key>``).
 
-    Two jobs: (1) distinct tag keys (a tiny distributed aggregate; sorted, first ``max_keys``),
+    Two jobs: (1) distinct tag keys (a tiny distributed aggregate; all of them, or those given),
     (2) the rollup with one ``element_at`` column per key.
     """
     src = period_filter(silver, period).where(
         F.col("resource_id").isNotNull() & (F.col("resource_id") != "") & F.col("is_running_usage"))
-    keys = tag_keys if tag_keys is not None else discover_tag_keys(src, limit=max_keys)
+    keys = tag_keys if tag_keys is not None else discover_tag_keys(src)
     src = flatten_tags(src, keys)
     tag_cols = [f"resource_tags_{k}" for k in keys]
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlake.operators.tags import discover_tag_keys, explode_tag_keys
+from costlake.operators.tags import discover_tag_keys, explode_tag_keys, tag_values
 from costlake.sources.period import PeriodRange, period_filter
 
 
@@ -17,9 +17,9 @@ def tag_cost_daily(silver: DataFrame, period: PeriodRange | None = None,
                    tag_keys: list[str] | None = None) -> DataFrame:
     """Per day, account, service, tag key and value (NULL = untagged): distinct resources and cost.
 
-    Every line is paired with every tag key (given, or discovered from the data) through a
-    generator on the row, not a join. Aggregation is two-level: first per resource (a hot
-    account/service is split by resource id, with map-side partial sums), then per tag value.
+    Lines are first added up per day, resource and tag values (a hot account/service is split by
+    resource id, with map-side partial sums); only these sums are paired with every tag key (given, or
+    discovered from the data) through a generator, then added up per resource and per tag value.
     """
     src = period_filter(silver, period).where(
         F.col("resource_id").isNotNull() & (F.col("resource_id") != "") & F.col("is_running_usage"))
@@ -27,8 +27,10 @@ def tag_cost_daily(silver: DataFrame, period: PeriodRange | None = None,
     if not keys:
         return _empty_tag_cost_daily(silver)
     narrow = src.select(F.col("usage_date").cast("date").alias("usage_date"), "account_id", "service_code",
-                        "resource_id", "effective_cost", "billing_period", "resource_tags")
-    pairs = explode_tag_keys(narrow, keys)
+                        "resource_id", "effective_cost", "billing_period", tag_values(keys).alias("_values"))
+    daily = narrow.groupBy("usage_date", "account_id", "service_code", "resource_id", "billing_period", "_values").agg(
+        F.sum("effective_cost").alias("effective_cost"))
+    pairs = explode_tag_keys(daily, keys, "_values")
     dims = ["usage_date", "account_id", "service_code", "tag_key", "tag_value", "billing_period"]
     per_resource = pairs.groupBy(*dims, "resource_id").agg(F.sum("effective_cost").alias("_cost"))
     return (
