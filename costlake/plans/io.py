@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +15,14 @@ from costlake.operators.tags import tag_keys
 from costlake.session import ensure_checkpoint_dir
 from costlake.sources.cur import conform_schema
 from costlake.sources.period import billing_period_range, period_filter
-from costlake.sources.sinks import write_incremental
-
-BRONZE_COLUMNS = ["usage_date", "account_id", "payer_account_id", "billing_entity", "product_code", "charge_type",
-                  "usage_type", "operation", "region", "resource_id", "instance_type", "pricing_unit", "usage_amount",
-                  "unblended_cost", "net_unblended_cost", "public_on_demand_cost", "billing_period"]
+from costlake.sources.sinks import audit_store_failures, read_evolved, sink_append, sink_table, sink_view, write_incremental
 
+#: Where the sink jobs cut a model into two batches.
+SPLIT_PERIOD = "2001-06"
 
 def bronze_projection(bronze: DataFrame) -> DataFrame:
-    return bronze.select(*BRONZE_COLUMNS)
+    """All columns of the conformed export but the tag map, which ``tag_pairs`` shows."""
+    return bronze.drop("resource_tags")
 
 
 def tag_pairs(bronze: DataFrame) -> DataFrame:
@@ -56,14 +56,56 @@ def discovered_tag_keys(silver: DataFrame) -> DataFrame:
     return tag_keys(silver)
 
 
+def _new_table(spark, name: str) -> str:
+    """A new table folder for one run, in the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def view_round_trip(model: DataFrame) -> DataFrame:
+    """The model as a session view, read back by name."""
+    name = f"costlake_view_{uuid.uuid4().hex[:12]}"
+    sink_view(model, name)
+    return model.sparkSession.table(name)
+
+
+def table_round_trip(model: DataFrame) -> DataFrame:
+    """The model written twice as a full table; the second write replaces the first."""
+    path = _new_table(model.sparkSession, "table")
+    sink_table(model.where(F.col("billing_period") < SPLIT_PERIOD), path)
+    sink_table(model, path)
+    return model.sparkSession.read.parquet(path)
+
+
+def append_round_trip(model: DataFrame) -> DataFrame:
+    """The model appended in two batches."""
+    path = _new_table(model.sparkSession, "append")
+    sink_append(model.where(F.col("billing_period") < SPLIT_PERIOD), path)
+    sink_append(model.where(F.col("billing_period") >= SPLIT_PERIOD), path)
+    return model.sparkSession.read.parquet(path)
+
+
+def evolved_round_trip(model: DataFrame) -> DataFrame:
+    """A table whose first batch lacks a column of the second: old rows read NULL there."""
+    path = _new_table(model.sparkSession, "evolved")
+    sink_append(model.where(F.col("billing_period") < SPLIT_PERIOD).drop("service_category"), path)
+    sink_append(model.where(F.col("billing_period") >= SPLIT_PERIOD), path)
+    return read_evolved(model.sparkSession, path).select(*model.columns)
+
+
+def audit_round_trip(failures: dict[str, DataFrame]) -> DataFrame:
+    """Failing rows stored in two runs, the first with a check that passes in the second; rows per check."""
+    spark = next(iter(failures.values())).sparkSession
+    path = _new_table(spark, "audit")
+    audit_store_failures({**failures, "fixed_since": next(iter(failures.values()))}, path)
+    audit_store_failures(failures, path)
+    return spark.read.parquet(path).groupBy(F.col("check").cast("string").alias("check")).agg(F.count("row").alias("failures"))
+
+
 def incremental_round_trip(service_daily: DataFrame, as_of: _dt.date, name: str = "service_daily") -> DataFrame:
     """Full refresh of the model into a billing_period-partitioned table in the shared checkpoint
     folder, then an incremental refresh of the last six periods (dynamic partition overwrite), and the
     table read back: it must equal the model."""
-    import uuid
-
-    base = ensure_checkpoint_dir(service_daily.sparkSession)
-    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")  # one table per run
+    path = _new_table(service_daily.sparkSession, name)
     write_incremental(service_daily, path, mode="overwrite")
     write_incremental(period_filter(service_daily, billing_period_range(as_of)), path, mode="dynamic")
     return service_daily.sparkSession.read.parquet(path).select(*service_daily.columns)

@@ -33,15 +33,28 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only when unset (tests)."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    d = tempfile.mkdtemp(prefix="costlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``, set as checkpoint folder.
+
+    There is no fallback to a machine's own temporary folder, which other executors could not read. A
+    session that runs on one machine (tests, bench) sets the folder itself or uses ``scratch_checkpoints``.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        spark.sparkContext.setCheckpointDir(folder)
+        return folder
+    if spark.sparkContext.getCheckpointDir():
+        return spark.sparkContext.getCheckpointDir()
+    if spark.sparkContext.master.startswith("local["):
+        return scratch_checkpoints(spark)
+    raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+
+
+def scratch_checkpoints(spark: SparkSession) -> str:
+    """A new scratch folder as checkpoint folder; only for a session within one process (local[n])."""
+    folder = tempfile.mkdtemp(prefix="costlake-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:

@@ -30,19 +30,15 @@ def write_incremental(df: DataFrame, path: str, mode: str = "dynamic") -> None:
     mode="dynamic": replace only the partitions present in ``df`` (incremental refresh);
     mode="overwrite": static overwrite of the whole table (full refresh).
     """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
-    try:
-        # cluster rows of a period together so each task writes few files per partition
-        (df.repartition(PARTITION).write.mode("overwrite").partitionBy(PARTITION).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    # Rows of a period come together in few files; adaptive execution splits a large period by size
+    # (spark.sql.adaptive.advisoryPartitionSizeInBytes), so no period is one task's work.
+    (df.hint("rebalance", PARTITION).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static").partitionBy(PARTITION).parquet(path))
 
 
 def sink_append(df: DataFrame, path: str) -> None:
-    """Append strategy (un-partitioned), new columns merged into the table schema on read."""
-    df.write.mode("append").option("mergeSchema", "true").parquet(path)
+    """Append strategy (un-partitioned); ``read_evolved`` merges new columns into the schema."""
+    df.write.mode("append").parquet(path)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +53,8 @@ def evolve_schema_append(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 def audit_store_failures(failures: dict[str, DataFrame], path: str) -> None:
     """Keep the failing rows of each data-quality check under ``path/check=<name>`` (JSON rows, so
-    checks with different schemas share one table)."""
+    checks with different schemas share one table). Each run replaces the whole table, so a check that
+    passes now leaves nothing of an earlier run."""
     parts = [df.select(F.lit(name).alias("check"), F.to_json(F.struct(*df.columns)).alias("row"))
              for name, df in failures.items()]
     if not parts:
@@ -65,4 +62,4 @@ def audit_store_failures(failures: dict[str, DataFrame], path: str) -> None:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    out.write.mode("overwrite").partitionBy("check").parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("check").parquet(path)

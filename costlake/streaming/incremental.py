@@ -26,11 +26,12 @@ DEFAULT_MODELS = ("cost_daily", "service_daily", "region_monthly", "invoice_mont
 
 def refresh_periods(spark: SparkSession, export_path: str, output_root: str, periods: list[str],
                     as_of: _dt.date, models=DEFAULT_MODELS) -> None:
-    """Rebuild ``models`` for the billing periods ``[min(periods), max(periods)]``."""
+    """Rebuild ``models`` for exactly these billing periods; periods between them are not touched."""
     if not periods:
         return
     rng = PeriodRange(min(periods), max(periods))
-    m = CostModels(spark, spark.read.parquet(export_path), as_of=as_of, period=rng)
+    raw = spark.read.parquet(export_path).where(F.col("billing_period").isin(sorted(set(periods))))  # prunes partitions
+    m = CostModels(spark, raw, as_of=as_of, period=rng)
     for name in models:
         write_incremental(getattr(m, name), os.path.join(output_root, name), mode="dynamic")
 

@@ -84,3 +84,40 @@ def test_append_with_schema_evolution(spark):
     assert got == [(1, None), (2, "x")]
     u = evolve_schema_append(spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([(2,)], "a int"))
     assert u.columns == ["a", "b"]
+
+
+def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from costlake.sources.sinks import write_incremental
+
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(0, 100_000, 1, 4).select("id", F.xxhash64("id").alias("x"), F.lit("2001-01").alias("billing_period"))
+        write_incremental(rows, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list((tmp_path / "t" / "billing_period=2001-01").glob("*.parquet"))) > 3
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100_000
+
+
+def test_audit_forgets_checks_that_pass_now(spark, tmp_path):
+    from costlake.sources.sinks import audit_store_failures
+
+    failing = spark.createDataFrame([(1, "a")], "id int, name string")
+    audit_store_failures({"c1": failing, "c2": failing}, str(tmp_path / "a"))
+    audit_store_failures({"c1": failing.where("id > 1"), "c2": failing}, str(tmp_path / "a"))
+    rows = spark.read.parquet(str(tmp_path / "a")).collect()
+    assert [r["check"] for r in rows] == ["c2"]
+
+
+def test_two_writers_leave_the_session_conf_alone(spark, tmp_path):
+    from costlake.sources.sinks import write_incremental
+
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    rows = spark.createDataFrame([(1, "2001-01"), (2, "2001-02")], "id int, billing_period string")
+    write_incremental(rows, str(tmp_path / "t"), mode="overwrite")
+    write_incremental(rows.where("id = 2").selectExpr("id + 10 AS id", "billing_period"), str(tmp_path / "t"))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 12]
