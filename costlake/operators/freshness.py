@@ -56,22 +56,25 @@ def hourly_freshness_stats(bronze: DataFrame, as_of: _dt.datetime) -> DataFrame:
 SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
-def snapshot_scd2(current: DataFrame | None, batch: DataFrame, unique_key: str, updated_at: str) -> DataFrame:
+def snapshot_scd2(current: DataFrame | None, batch: DataFrame, unique_key: str, updated_at: str,
+                  as_of: _dt.datetime | None = None) -> DataFrame:
     """Timestamp-strategy SCD2 merge.
 
     new key -> insert an open row; ``updated_at`` moved forward -> close the open row
     (``dbt_valid_to`` = new updated_at) and insert the new version; unchanged -> keep.
-    Rows whose ``updated_at`` is NULL are not versioned. The merge is a full outer join of the open
-    rows with the batch on the key (hash-partitioned on the key, no broadcast)."""
+    A row whose ``updated_at`` is NULL (an hour without data) counts as updated at ``as_of`` when it is
+    new; while it stays NULL it has no new version. The merge joins the open rows with the batch on the
+    key (hash-partitioned on the key, no broadcast)."""
+    seen = F.coalesce(F.col(updated_at), F.lit(as_of).cast("timestamp"))
+
     def stamp(df: DataFrame) -> DataFrame:
         return df.select(
             "*",
-            F.sha2(F.concat_ws("|", F.col(unique_key).cast("string"), F.col(updated_at).cast("string")), 256)
+            F.sha2(F.concat_ws("|", F.col(unique_key).cast("string"), seen.cast("string")), 256)
             .alias("dbt_scd_id"),
-            F.col(updated_at).alias("dbt_updated_at"), F.col(updated_at).alias("dbt_valid_from"),
+            seen.alias("dbt_updated_at"), seen.alias("dbt_valid_from"),
             F.lit(None).cast("timestamp").alias("dbt_valid_to"))
 
-    batch = batch.where(F.col(updated_at).isNotNull())
     if current is None:
         return stamp(batch)
     closed = current.where(F.col("dbt_valid_to").isNotNull())

@@ -50,7 +50,7 @@ def map_service(df: DataFrame, products: DataFrame) -> DataFrame:
         F.col("service_nice_name").alias("_seed_name"),
         F.col("service_category").alias("_seed_category"),
     )
-    j = df.join(F.broadcast(seed), df["product_code"] == seed["_seed_code"], "left")
+    j = df.join(seed, df["product_code"] == seed["_seed_code"], "left")
     mkt = F.col("billing_entity") == MARKETPLACE
     return j.select(
         *df.columns,
@@ -97,7 +97,7 @@ def map_region(df: DataFrame, regions: DataFrame) -> DataFrame:
         .unionByName(regions.select(F.col("region_name").alias("_rkey"), F.col("region_name")))
         .distinct()
     )
-    j = df.join(F.broadcast(lookup), df["region_id"] == lookup["_rkey"], "left")
+    j = df.join(lookup, df["region_id"] == lookup["_rkey"], "left")
     return j.drop("_rkey")
 
 

@@ -7,6 +7,36 @@ from costlake.operators.normalize import DATA_TRANSFER_FRAGMENTS, INSTANCE_TYPE_
 from costlake.sources.fixture import events_billing_sql
 
 
+def hourly(events_as_of: str) -> str:
+    """The hourly stats as of a day; reads ``ev``."""
+    return f"""
+            SELECT g.h AS usage_hour, CAST(g.h AS DATE) AS usage_date, d.count_rows, d.cost, d.lag_cost,
+              CAST(sign(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0))
+                   * round(abs(CAST(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0) AS DECIMAL(38,10))), 2)
+                   AS DOUBLE) AS lag_perc_change,
+              d.ct_accounts,
+              CASE WHEN d.count_rows IS NOT NULL THEN TIMESTAMP '{events_as_of} 00:00:00' END AS max_modified_date,
+              CASE WHEN d.count_rows IS NOT NULL THEN TIMESTAMP '{events_as_of} 00:00:00' END AS min_modified_date,
+              CASE WHEN d.count_rows IS NOT NULL THEN CAST(date_diff('day', CAST(g.h AS DATE), DATE '{events_as_of}') AS BIGINT) END
+                AS date_diff_usage_modified,
+              d.line_item_type,
+              CASE WHEN d.count_rows IS NULL THEN 'x' ELSE '' END AS is_missing_hour,
+              CASE WHEN round(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0), 2) < 0.05
+                     OR round(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0), 2) > 5 THEN 'x' ELSE '' END
+                AS is_cost_outlier,
+              CASE WHEN date_diff('day', CAST(g.h AS DATE), DATE '{events_as_of}') > 45 AND d.count_rows IS NOT NULL
+                   THEN 'x' ELSE '' END AS is_late_arriving
+            FROM (SELECT unnest(generate_series(TIMESTAMP '2023-11-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS h) g
+            LEFT JOIN (SELECT *, lag(cost) OVER (ORDER BY hr) AS lag_cost
+                       FROM (SELECT date_trunc('hour', usage_date) AS hr, count(*) AS count_rows, sum(unblended_cost) AS cost,
+                               count(DISTINCT payer_account_id) AS ct_accounts,
+                               list_sort(list_distinct(list(charge_type))) AS line_item_type
+                             FROM ev
+                             WHERE usage_date >= TIMESTAMP '2023-11-01' AND usage_date < TIMESTAMP '2024-02-01'
+                               AND charge_type <> 'Tax'
+                             GROUP BY 1)) d ON g.h = d.hr"""
+
+
 def oracle(events_as_of: str = "2024-01-31") -> dict[str, str]:
     strip = "CASE WHEN usage_type IS NULL OR usage_type = '' THEN usage_type " + " ".join(
         f"WHEN regexp_matches(usage_type, '{rx}') THEN regexp_replace(usage_type, '{rx}', '')" for rx in REGION_PREFIXES
@@ -47,30 +77,15 @@ def oracle(events_as_of: str = "2024-01-31") -> dict[str, str]:
             WHERE service_code = 'AmazonEC2' AND operation LIKE '%RunInstances%' AND usage_type NOT LIKE '%DataXfer%'
               AND subservice_code <> 'AWSDataTransfer' AND resource_id NOT LIKE 'arn:%:capacity-reservation/%'
             GROUP BY ALL"""),
-        "hourly_freshness_stats": query(f"""
-            SELECT g.h AS usage_hour, CAST(g.h AS DATE) AS usage_date, d.count_rows, d.cost, d.lag_cost,
-              CAST(sign(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0))
-                   * round(abs(CAST(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0) AS DECIMAL(38,10))), 2)
-                   AS DOUBLE) AS lag_perc_change,
-              d.ct_accounts,
-              CASE WHEN d.count_rows IS NOT NULL THEN TIMESTAMP '{events_as_of} 00:00:00' END AS max_modified_date,
-              CASE WHEN d.count_rows IS NOT NULL THEN TIMESTAMP '{events_as_of} 00:00:00' END AS min_modified_date,
-              CASE WHEN d.count_rows IS NOT NULL THEN CAST(date_diff('day', CAST(g.h AS DATE), DATE '{events_as_of}') AS BIGINT) END
-                AS date_diff_usage_modified,
-              d.line_item_type,
-              CASE WHEN d.count_rows IS NULL THEN 'x' ELSE '' END AS is_missing_hour,
-              CASE WHEN round(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0), 2) < 0.05
-                     OR round(CAST(d.cost AS DOUBLE) / nullif(CAST(d.lag_cost AS DOUBLE), 0), 2) > 5 THEN 'x' ELSE '' END
-                AS is_cost_outlier,
-              CASE WHEN date_diff('day', CAST(g.h AS DATE), DATE '{events_as_of}') > 45 AND d.count_rows IS NOT NULL
-                   THEN 'x' ELSE '' END AS is_late_arriving
-            FROM (SELECT unnest(generate_series(TIMESTAMP '2023-11-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS h) g
-            LEFT JOIN (SELECT *, lag(cost) OVER (ORDER BY hr) AS lag_cost
-                       FROM (SELECT date_trunc('hour', usage_date) AS hr, count(*) AS count_rows, sum(unblended_cost) AS cost,
-                               count(DISTINCT payer_account_id) AS ct_accounts,
-                               list_sort(list_distinct(list(charge_type))) AS line_item_type
-                             FROM ev
-                             WHERE usage_date >= TIMESTAMP '2023-11-01' AND usage_date < TIMESTAMP '2024-02-01'
-                               AND charge_type <> 'Tax'
-                             GROUP BY 1)) d ON g.h = d.hr""", ev),
+        "hourly_freshness_stats": query(hourly(events_as_of), ev),
+        # Two refreshes of the same hours: hours with data have a new version, the others stay open.
+        "snapshot_scd2": query("""
+            SELECT a.*, sha256(strftime(a.usage_hour, '%Y-%m-%d %H:%M:%S') || '|2024-01-15 00:00:00') AS dbt_scd_id,
+              TIMESTAMP '2024-01-15' AS dbt_updated_at, TIMESTAMP '2024-01-15' AS dbt_valid_from,
+              CASE WHEN b.count_rows IS NOT NULL THEN TIMESTAMP '2024-01-31' END AS dbt_valid_to
+            FROM s1 a JOIN s2 b USING (usage_hour)
+            UNION ALL
+            SELECT *, sha256(strftime(usage_hour, '%Y-%m-%d %H:%M:%S') || '|2024-01-31 00:00:00'),
+              TIMESTAMP '2024-01-31', TIMESTAMP '2024-01-31', CAST(NULL AS TIMESTAMP)
+            FROM s2 WHERE count_rows IS NOT NULL""", ev, ("s1", hourly("2024-01-15")), ("s2", hourly("2024-01-31"))),
     }

@@ -162,7 +162,7 @@ def instance_resource_monthly(hourly: DataFrame, modernization: DataFrame, as_of
         F.col("latest_amd").alias("_latest_amd"), F.col("latest_graviton").alias("_latest_graviton"))
     bucket = F.when(F.col("service_code").isin(MODERNIZATION_PRODUCTS), F.col("service_code")).otherwise("AmazonEC2")
     d = d.withColumn("_bucket", bucket)
-    j = d.join(F.broadcast(mim), (d["instance_type_family"] == mim["_family"]) & (d["_bucket"] == mim["_product"]),
+    j = d.join(mim, (d["instance_type_family"] == mim["_family"]) & (d["_bucket"] == mim["_product"]),
                "left")
     uti = utilization_scenarios(src, as_of)
     j = j.join(F.broadcast(uti), j["usage_date"] == uti["_month"], "left")

@@ -1,95 +1,103 @@
 """Reference dimensions ("seeds"): regions, product -> service name/category, instance modernization.
 
 Seeds are small, fixed-size dimension tables (tens to a few hundred rows), so they are built on the
-driver and broadcast; their size does not grow with the billing data. ``load_seed`` also reads a
+driver; their size does not grow with the billing data. ``load_seed`` also reads a
 user-supplied CSV from shared storage when a path is given (``spark.read.csv`` with a fixed schema).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------------------------
 # Public AWS region codes and their console names (region_id, region_name,
-# region_country, region_city, region_timezone). 'global' is the bucket for non-regional usage.
+# region_country, region_city, region_latitude, region_longitude, region_timezone). 'global' is the bucket
+# for non-regional usage, 'external' for places that are no region.
 # ---------------------------------------------------------------------------------------------
 REGIONS = [
-    ("global", "Global", "Global", "Global", "UTC"),
-    ("af-south-1", "Africa (Cape Town)", "South Africa", "Cape Town", "Africa/Johannesburg"),
-    ("ap-east-1", "Asia Pacific (Hong Kong)", "Hong Kong", "Hong Kong", "Asia/Hong_Kong"),
-    ("ap-northeast-1", "Asia Pacific (Tokyo)", "Japan", "Tokyo", "Asia/Tokyo"),
-    ("ap-northeast-2", "Asia Pacific (Seoul)", "South Korea", "Seoul", "Asia/Seoul"),
-    ("ap-northeast-3", "Asia Pacific (Osaka)", "Japan", "Osaka", "Asia/Tokyo"),
-    ("ap-south-1", "Asia Pacific (Mumbai)", "India", "Mumbai", "Asia/Kolkata"),
-    ("ap-south-2", "Asia Pacific (Hyderabad)", "India", "Hyderabad", "Asia/Kolkata"),
-    ("ap-southeast-1", "Asia Pacific (Singapore)", "Singapore", "Singapore", "Asia/Singapore"),
-    ("ap-southeast-2", "Asia Pacific (Sydney)", "Australia", "Sydney", "Australia/Sydney"),
-    ("ap-southeast-3", "Asia Pacific (Jakarta)", "Indonesia", "Jakarta", "Asia/Jakarta"),
-    ("ap-southeast-4", "Asia Pacific (Melbourne)", "Australia", "Melbourne", "Australia/Melbourne"),
-    ("ca-central-1", "Canada (Central)", "Canada", "Montreal", "America/Toronto"),
-    ("ca-west-1", "Canada West (Calgary)", "Canada", "Calgary", "America/Edmonton"),
-    ("eu-central-1", "EU (Frankfurt)", "Germany", "Frankfurt", "Europe/Berlin"),
-    ("eu-central-2", "EU (Zurich)", "Switzerland", "Zurich", "Europe/Zurich"),
-    ("eu-north-1", "EU (Stockholm)", "Sweden", "Stockholm", "Europe/Stockholm"),
-    ("eu-south-1", "EU (Milan)", "Italy", "Milan", "Europe/Rome"),
-    ("eu-south-2", "EU (Spain)", "Spain", "Aragon", "Europe/Madrid"),
-    ("eu-west-1", "EU (Ireland)", "Ireland", "Dublin", "Europe/Dublin"),
-    ("eu-west-2", "EU (London)", "United Kingdom", "London", "Europe/London"),
-    ("eu-west-3", "EU (Paris)", "France", "Paris", "Europe/Paris"),
-    ("il-central-1", "Israel (Tel Aviv)", "Israel", "Tel Aviv", "Asia/Jerusalem"),
-    ("me-central-1", "Middle East (UAE)", "United Arab Emirates", "Dubai", "Asia/Dubai"),
-    ("me-south-1", "Middle East (Bahrain)", "Bahrain", "Manama", "Asia/Bahrain"),
-    ("sa-east-1", "South America (Sao Paulo)", "Brazil", "Sao Paulo", "America/Sao_Paulo"),
-    ("us-east-1", "US East (N. Virginia)", "United States", "Ashburn", "America/New_York"),
-    ("us-east-2", "US East (Ohio)", "United States", "Columbus", "America/New_York"),
-    ("us-west-1", "US West (N. California)", "United States", "San Francisco", "America/Los_Angeles"),
-    ("us-west-2", "US West (Oregon)", "United States", "Portland", "America/Los_Angeles"),
-    ("us-gov-east-1", "AWS GovCloud (US-East)", "United States", "Columbus", "America/New_York"),
-    ("us-gov-west-1", "AWS GovCloud (US-West)", "United States", "Portland", "America/Los_Angeles"),
+    ("global", "Global", "Global", "Global", 0.00, 0.00, "UTC"),
+    ("af-south-1", "Africa (Cape Town)", "South Africa", "Cape Town", -33.91, 18.42, "Africa/Johannesburg"),
+    ("ap-east-1", "Asia Pacific (Hong Kong)", "Hong Kong", "Hong Kong", 22.28, 114.15, "Asia/Hong_Kong"),
+    ("ap-east-2", "Asia Pacific (Taiwan)", "Taiwan", "Taipei", 25.03, 121.56, "Asia/Taipei"),
+    ("ap-northeast-1", "Asia Pacific (Tokyo)", "Japan", "Tokyo", 35.64, 139.76, "Asia/Tokyo"),
+    ("ap-northeast-2", "Asia Pacific (Seoul)", "South Korea", "Seoul", 37.72, 126.04, "Asia/Seoul"),
+    ("ap-northeast-3", "Asia Pacific (Osaka)", "Japan", "Osaka", 34.69, 135.5, "Asia/Tokyo"),
+    ("ap-south-1", "Asia Pacific (Mumbai)", "India", "Mumbai", 19.08, 72.88, "Asia/Kolkata"),
+    ("ap-south-2", "Asia Pacific (Hyderabad)", "India", "Hyderabad", 17.39, 78.49, "Asia/Kolkata"),
+    ("ap-southeast-1", "Asia Pacific (Singapore)", "Singapore", "Singapore", 1.35, 103.86, "Asia/Singapore"),
+    ("ap-southeast-2", "Asia Pacific (Sydney)", "Australia", "Sydney", -33.88, 151.23, "Australia/Sydney"),
+    ("ap-southeast-3", "Asia Pacific (Jakarta)", "Indonesia", "Jakarta", -6.17, 106.82, "Asia/Jakarta"),
+    ("ap-southeast-4", "Asia Pacific (Melbourne)", "Australia", "Melbourne", -37.81, 144.96, "Australia/Melbourne"),
+    ("ap-southeast-5", "Asia Pacific (Malaysia)", "Malaysia", "Kuala Lumpur", 3.14, 101.69, "Asia/Kuala_Lumpur"),
+    ("ap-southeast-7", "Asia Pacific (Thailand)", "Thailand", "Bangkok", 13.76, 100.50, "Asia/Bangkok"),
+    ("ca-central-1", "Canada (Central)", "Canada", "Montreal", 45.50, -73.57, "America/Toronto"),
+    ("ca-west-1", "Canada West (Calgary)", "Canada", "Calgary", 51.05, -114.07, "America/Edmonton"),
+    ("cn-north-1", "China (Beijing)", "China", "Beijing", 39.91, 116.41, "Asia/Beijing"),
+    ("cn-northwest-1", "China (Ningxia)", "China", "Ningxia", 38.47, 106.26, "Asia/Beijing"),
+    ("eu-central-1", "EU (Frankfurt)", "Germany", "Frankfurt", 50.11, 8.68, "Europe/Berlin"),
+    ("eu-central-2", "EU (Zurich)", "Switzerland", "Zurich", 47.37, 8.54, "Europe/Zurich"),
+    ("eu-north-1", "EU (Stockholm)", "Sweden", "Stockholm", 59.33, 18.07, "Europe/Stockholm"),
+    ("eu-south-1", "EU (Milan)", "Italy", "Milan", 45.46, 9.18, "Europe/Rome"),
+    ("eu-south-2", "EU (Spain)", "Spain", "Madrid", 40.41, -3.70, "Europe/Madrid"),
+    ("eu-west-1", "EU (Ireland)", "Ireland", "Dublin", 53.35, -6.26, "Europe/Dublin"),
+    ("eu-west-2", "EU (London)", "United Kingdom", "London", 51.51, -0.13, "Europe/London"),
+    ("eu-west-3", "EU (Paris)", "France", "Paris", 48.85, 2.35, "Europe/Paris"),
+    ("il-central-1", "Israel (Tel Aviv)", "Israel", "Tel Aviv", 32.08, 34.78, "Asia/Jerusalem"),
+    ("me-central-1", "Middle East (UAE)", "United Arab Emirates", "Dubai", 25.27, 55.29, "Asia/Dubai"),
+    ("me-south-1", "Middle East (Bahrain)", "Bahrain", "Bahrain", 26.11, 50.50, "Asia/Bahrain"),
+    ("mx-central-1", "Mexico (Central)", "Mexico", "Mexico City", 19.43, -99.13, "America/Mexico_City"),
+    ("sa-east-1", "South America (Sao Paulo)", "Brazil", "Sao Paulo", -23.37, -46.63, "America/Sao_Paulo"),
+    ("us-east-1", "US East (N. Virginia)", "United States", "Virginia", 38.80, -77.11, "America/New_York"),
+    ("us-east-2", "US East (Ohio)", "United States", "Ohio", 40.36, -82.91, "America/New_York"),
+    ("us-gov-east-1", "AWS GovCloud (US-East)", "United States", "Ohio", 40.49, -81.45, "America/New_York"),
+    ("us-gov-west-1", "AWS GovCloud (US-West)", "United States", "Oregon", 39.53, -119.88, "America/Los_Angeles"),
+    ("us-west-1", "US West (N. California)", "United States", "California", 36.55, -119.89, "America/Los_Angeles"),
+    ("us-west-2", "US West (Oregon)", "United States", "Oregon", 43.82, -120.33, "America/Los_Angeles"),
+    ("external", "External", "Global", "External", 0.00, 0.00, "UTC"),
 ]
 
 # ---------------------------------------------------------------------------------------------
-# Public AWS product codes -> (service display name, service category).
+# Public AWS product codes -> (service display name, service category), for the services that
+# the models name. A full table (some 250 codes) is given as a CSV: CostModels(seed_paths={"products": ...}).
 # ---------------------------------------------------------------------------------------------
 PRODUCTS = [
     ("AmazonEC2", "Amazon Elastic Compute Cloud", "Compute"),
     ("AmazonVPC", "Amazon Virtual Private Cloud", "Networking and Content Delivery"),
     ("AmazonS3", "Amazon Simple Storage Service", "Storage"),
-    ("AmazonGlacier", "Amazon S3 Glacier", "Storage"),
-    ("AmazonRDS", "Amazon Relational Database Service", "Database"),
-    ("AmazonDynamoDB", "Amazon DynamoDB", "Database"),
-    ("AmazonElastiCache", "Amazon ElastiCache", "Database"),
-    ("AmazonDocDB", "Amazon DocumentDB", "Database"),
-    ("AmazonNeptune", "Amazon Neptune", "Database"),
-    ("AmazonMemoryDB", "Amazon MemoryDB", "Database"),
-    ("AmazonRedshift", "Amazon Redshift", "Analytics"),
+    ("AmazonGlacier", "Amazon Glacier", "Storage"),
+    ("AmazonRDS", "Amazon Relational Database Service", "Databases"),
+    ("AmazonDynamoDB", "Amazon DynamoDB", "Databases"),
+    ("AmazonElastiCache", "Amazon ElastiCache", "Databases"),
+    ("AmazonDocDB", "Amazon DocumentDB (with MongoDB compatibility)", "Databases"),
+    ("AmazonNeptune", "Amazon Neptune", "Databases"),
+    ("AmazonMemoryDB", "Amazon MemoryDB", "Databases"),
+    ("AmazonRedshift", "Amazon Redshift", "Databases"),
     ("AmazonES", "Amazon OpenSearch Service", "Analytics"),
     ("AWSLambda", "AWS Lambda", "Compute"),
     ("AmazonECS", "Amazon Elastic Container Service", "Containers"),
-    ("AmazonEKS", "Amazon Elastic Kubernetes Service", "Containers"),
-    ("AmazonECR", "Amazon Elastic Container Registry", "Containers"),
+    ("AmazonEKS", "Amazon Elastic Container Service for Kubernetes", "Containers"),
+    ("AmazonECR", "Amazon EC2 Container Registry (ECR)", "Containers"),
     ("AmazonCloudWatch", "Amazon CloudWatch", "Management and Governance"),
     ("AWSConfig", "AWS Config", "Management and Governance"),
     ("AWSCloudTrail", "AWS CloudTrail", "Management and Governance"),
     ("AmazonApiGateway", "Amazon API Gateway", "Networking and Content Delivery"),
     ("AmazonCloudFront", "Amazon CloudFront", "Networking and Content Delivery"),
     ("AmazonRoute53", "Amazon Route 53", "Networking and Content Delivery"),
-    ("AWSELB", "Elastic Load Balancing", "Networking and Content Delivery"),
-    ("AWSNetworkFirewall", "AWS Network Firewall", "Security, Identity and Compliance"),
-    ("AmazonKinesis", "Amazon Kinesis Data Streams", "Analytics"),
+    ("AWSELB", "AWS Elastic Load Balancing", "Networking and Content Delivery"),
+    ("AWSNetworkFirewall", "AWS Network Firewall", "Networking and Content Delivery"),
+    ("AmazonKinesis", "Amazon Kinesis", "Analytics"),
     ("AmazonWorkSpaces", "Amazon WorkSpaces", "End User Computing"),
-    ("AWSSupportEnterprise", "AWS Support (Enterprise)", "Support"),
-    ("AWSSupportBusiness", "AWS Support (Business)", "Support"),
+    ("AWSSupportEnterprise", "AWS Enterprise Support", "Support"),
+    ("AWSSupportBusiness", "AWS Business Support", "Support"),
     ("awskms", "AWS Key Management Service", "Security, Identity and Compliance"),
     ("AmazonGuardDuty", "Amazon GuardDuty", "Security, Identity and Compliance"),
     ("AWSSecretsManager", "AWS Secrets Manager", "Security, Identity and Compliance"),
-    ("AmazonSNS", "Amazon Simple Notification Service", "Application Integration"),
-    ("AWSQueueService", "Amazon Simple Queue Service", "Application Integration"),
-    ("AmazonSageMaker", "Amazon SageMaker", "Machine Learning"),
-    ("AmazonBedrock", "Amazon Bedrock", "Machine Learning"),
-    ("AWSDataTransfer", "AWS Data Transfer", "Networking and Content Delivery"),
+    ("AmazonSNS", "Amazon Simple Notification Service", "Integration"),
+    ("AWSQueueService", "Amazon Simple Queue Service", "Integration"),
+    ("AmazonSageMaker", "Amazon SageMaker", "AI and Machine Learning"),
+    ("AmazonBedrock", "Amazon Bedrock", "AI and Machine Learning"),
+    ("AWSDataTransfer", "AWS Data Transfer", "Migration and Transfer"),
     ("AWSBackup", "AWS Backup", "Storage"),
     ("AmazonEFS", "Amazon Elastic File System", "Storage"),
     ("AWSGlue", "AWS Glue", "Analytics"),
@@ -127,8 +135,9 @@ def _modernization_rows():
     return rows
 
 
-REGION_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
-                              ["region_id", "region_name", "region_country", "region_city", "region_timezone"]])
+REGION_SCHEMA = T.StructType([T.StructField(n, T.DoubleType() if n.endswith("tude") else T.StringType()) for n in
+                              ["region_id", "region_name", "region_country", "region_city", "region_latitude",
+                               "region_longitude", "region_timezone"]])
 PRODUCT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
                                ["product_code", "service_nice_name", "service_category"]])
 MODERNIZATION_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
@@ -148,13 +157,12 @@ def seed_rows(name: str):
 
 
 def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    """Typed seed table; broadcast-hinted (fixed, small size)."""
+    """Typed seed table; no join hint. Spark knows the size of the built-in rows and of a CSV at ``path`` (in
+    shared storage, of any size) and broadcasts what lies below its threshold."""
     _, schema = SEEDS[name]
     if path:
-        df = spark.read.schema(schema).option("header", True).csv(path)
-    else:
-        df = spark.createDataFrame(seed_rows(name), schema)
-    return F.broadcast(df)
+        return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.createDataFrame(seed_rows(name), schema)
 
 
 def seed_values_sql(name: str) -> str:
@@ -163,6 +171,8 @@ def seed_values_sql(name: str) -> str:
     cols = [f.name for f in schema.fields]
 
     def q(v):
+        if isinstance(v, float):
+            return f"CAST({v} AS DOUBLE)"
         return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
     body = ",\n".join("(" + ", ".join(q(v) for v in r) + ")" for r in seed_rows(name))
