@@ -119,10 +119,13 @@ def slices(docs: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes, np.
 def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each trigger: its group, the hash of its dictionary word, id and place.
 
-    place: the position, and the greatest and least distance to it of a window's start, in 6 bits each.
+    place: the position, and the greatest and least distance to it of a window's start, in 6 bits each. Of a
+    word that occurs several times in one group of texts only the first occurrence goes on under its group; the
+    others are repeats already, come with a place below zero (-1 - place) and are spread, so that a very common
+    line doesn't make a hot key.
     """
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         for number, first, joined, begin in slices(texts(batch.column(1))):
             raw = np.frombuffer(joined, np.uint8)
             owner = owners(raw)
@@ -141,9 +144,15 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 word = mix(hashes.of(low, high + LENGTH) + ((at - low) * 64 + (at - high)).astype(U) * U(0x9E3779B97F4A7C15))
             part = np.searchsorted(begin, low, side="right") - 1
             place = ((at - begin[part] + np.array(first)[part]) << 12) | ((at - low) << 6) | (at - high)
+            ident = ids[np.array(number)[part]]
+            order = np.lexsort((place, ident, word))
+            again = order[1:][word[order[1:]] == word[order[:-1]]]
+            with np.errstate(over="ignore"):
+                group[again] = mix(ident[again].view(U) * U(0x9E3779B97F4A7C15) + place[again].view(U))
+            place[again] = -1 - place[again]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(group.view(np.int64)), pa.array(word.view(np.int64)), pa.array(ids[np.array(number)[part]], pa.int64()),
-                 pa.array(place)], names=["g", "w", "id", "place"])
+                [pa.array(group.view(np.int64)), pa.array(word.view(np.int64)), pa.array(ident, pa.int64()), pa.array(place)],
+                names=["g", "w", "id", "place"])
 
 
 def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +161,11 @@ def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = None  # of the group that the rows so far end with: g, its last word, and its first row if that word is alone
     for batch in batches:
         g, w, ident, place = (batch.column(i).to_numpy() for i in range(4))
+        known = place < 0
+        if known.any():
+            yield pa.RecordBatch.from_arrays([pa.array(g[known]), pa.array(ident[known]), pa.array(-1 - place[known]), pa.array(np.ones(known.sum(), bool))],
+                                             names=["g", "id", "place", "again"])
+            g, w, ident, place = g[~known], w[~known], ident[~known], place[~known]
         n = len(g)
         if not n:
             continue
