@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costlake.session import ensure_checkpoint_dir
+
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | T.StructType, barrier: bool = False) -> DataFrame:
@@ -44,17 +46,8 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    A session without it must have a checkpoint folder set (``SparkContext.setCheckpointDir``); without
-    either there is no place that survives a lost executor, and this raises.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return folder.rstrip("/")
+    """The folder that driver and executors share, as the session names it in ``spark.checkpoint.dir``."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
