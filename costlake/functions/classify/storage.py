@@ -34,7 +34,8 @@ EBS_PARTS = [
 # non-EBS rows get NULL; EBS rows whose part is unknown get 'EBS [Other]'
 EBS = [(("and", ("like", UT, "%EBS:%"), ("eq", ("split_part", UT, ":", 2), part)), label)
        for part, label in EBS_PARTS]
-EBS += [(("like", UT, "%EBS:%"), "EBS [Other]")]
+EBS_OTHER = "EBS [Other]"
+EBS += [(("like", UT, "%EBS:%"), EBS_OTHER)]
 EBS_DEFAULT = None
 
 # ---- EBS volume type of the monthly summary ------------------------------------------------------

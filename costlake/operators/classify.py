@@ -8,7 +8,7 @@ never runs per line); (3) re-aggregate per label. No join and no broadcast is ne
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions.classify import compile_condition, compile_rules, input_columns
@@ -17,6 +17,20 @@ from costlake.functions.classify.catalog import FAMILIES, RULE_SETS, unified_rul
 MEASURES = [("effective_cost", "total_effective_cost"), ("usage_amount", "total_usage_amount")]
 
 
+def labelled_sums(rows: DataFrame, keys: list[Column], inputs: list[str], label: Column, out_col: str, sums: list[str]) -> DataFrame:
+    """Sums by keys and a label: lines are added up by the label's inputs first, so the rule chain runs once
+    per distinct input of a key, not per line, and stays out of the aggregate over the lines.
+
+    ``keys``: columns with a name of their own (plain or aliased). ``sums``: columns to add up, kept by name.
+    """
+    first = rows.groupBy(*keys, *[F.col(i).alias(f"_in_{i}") for i in inputs]).agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
+    names = first.columns[:len(keys)]
+    lines = first.select(*names, *[F.col(f"_in_{i}").alias(i) for i in inputs if i not in names],
+                         *[F.col(f"_sum_{s}") for s in sums])
+    labelled = lines.withColumn(out_col, label)
+    return labelled.groupBy(*names, out_col).agg(*[F.sum(f"_sum_{s}").alias(s) for s in sums])
+
+
 def _signature_rollup(rows: DataFrame, keys: list[str], label) -> DataFrame:
     sig = rows.groupBy(*keys).agg(*[F.sum(m).alias(n) for m, n in MEASURES], F.count(F.lit(1)).alias("line_count"))
     labelled = sig.withColumn("usage_category", label)

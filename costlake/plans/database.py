@@ -7,7 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlake.functions.classify import compile_rules
+from costlake.functions.classify import compile_rules, input_columns
+from costlake.operators.classify import labelled_sums
 from costlake.functions.classify import database as R
 from costlake.functions.columns import like_any, round_half_up, split_part_null, sum_when
 from costlake.sources.period import PeriodRange, period_filter
@@ -44,10 +45,11 @@ def database_summary_daily(silver: DataFrame, period: PeriodRange | None = None)
     for code, name in ENGINE_BY_SERVICE.items():
         engine = engine.when(sc == code, name)
     engine = engine.otherwise("none")
-    return (src.groupBy(_trunc("day"), "account_id", "payer_account_id", "service_code", "region_id",
-                        database_category().alias("database_category"), engine.alias("database_engine"),
-                        "license_model", "billing_period")
-            .agg(F.sum("effective_cost").alias("total_effective_cost"))
+    inputs = sorted({c for rules, default in R.BY_SERVICE.values() for c in input_columns(rules, default)} - {"service_code"})
+    keys = [_trunc("day"), F.col("account_id"), F.col("payer_account_id"), F.col("service_code"), F.col("region_id"),
+            engine.alias("database_engine"), F.col("license_model"), F.col("billing_period")]
+    return (labelled_sums(src, keys, inputs, database_category(), "database_category", ["effective_cost"])
+            .withColumnRenamed("effective_cost", "total_effective_cost")
             .where(F.col("total_effective_cost") > 0)
             .select("usage_date", "account_id", "payer_account_id", "service_code", "region_id", "database_category",
                     "database_engine", "license_model", "total_effective_cost", "billing_period"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlake.functions.classify import compile_rules
+from costlake.functions.classify import compile_rules, input_columns
+from costlake.operators.classify import labelled_sums
 from costlake.functions.classify import monitoring as MON
 from costlake.functions.classify import other as R
 from costlake.functions.columns import regexp_extract_null, round_half_up, safe_div, sum_when
@@ -34,11 +35,11 @@ def api_gateway_daily(silver: DataFrame, period: PeriodRange | None = None) -> D
 def cloudwatch_monthly(silver: DataFrame, period: PeriodRange | None = None) -> DataFrame:
     src = period_filter(silver, period).where(
         (F.col("service_code") == "AmazonCloudWatch") & F.col("is_running_usage") & (F.col("effective_cost") > 0))
-    cat = compile_rules(MON.CLOUDWATCH, MON.CLOUDWATCH_DEFAULT).alias("usage_category")
-    return (src.groupBy(_trunc("month"), "account_id", F.col("resource_name").alias("log_group_name"), cat,
-                        "region_id", "billing_period")
-            .agg(F.sum("usage_amount").alias("total_usage_amount"),
-                 F.sum("effective_cost").alias("total_effective_cost"))
+    keys = [_trunc("month"), F.col("account_id"), F.col("resource_name").alias("log_group_name"), F.col("region_id"),
+            F.col("billing_period")]
+    return (labelled_sums(src, keys, input_columns(MON.CLOUDWATCH, MON.CLOUDWATCH_DEFAULT),
+                          compile_rules(MON.CLOUDWATCH, MON.CLOUDWATCH_DEFAULT), "usage_category", ["usage_amount", "effective_cost"])
+            .withColumnsRenamed({"effective_cost": "total_effective_cost", "usage_amount": "total_usage_amount"})
             .select("usage_date", "account_id", "log_group_name", "usage_category", "region_id",
                     "total_usage_amount", "total_effective_cost", "billing_period"))
 

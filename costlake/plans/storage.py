@@ -7,8 +7,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlake.functions.classify import compile_rules
+from costlake.functions.classify import compile_rules, input_columns
 from costlake.functions.classify import storage as R
+from costlake.operators.classify import labelled_sums
 from costlake.functions.columns import round_half_up, safe_div
 from costlake.sources.period import PeriodRange, period_filter
 
@@ -28,11 +29,13 @@ def ebs_daily(silver: DataFrame, period: PeriodRange | None = None) -> DataFrame
     src = period_filter(silver, period).where(
         (F.col("service_code") == "AmazonEC2") & (F.col("charge_type") == "Usage")
         & F.col("usage_type").like("%EBS:%"))
-    cat = compile_rules(R.EBS, R.EBS_DEFAULT).alias("usage_category")
-    return (src.groupBy(_trunc("day"), "account_id", "payer_account_id",
-                        F.col("resource_name").alias("volume_name"), cat, "region_id", "billing_period")
-            .agg(F.sum("effective_cost").alias("total_effective_cost"),
-                 F.sum("usage_amount").alias("total_usage_amount"))
+    # the rules look at the part behind the colon: one lookup instead of a test for each rule
+    parts = F.create_map(*[F.lit(x) for part, label in R.EBS_PARTS for x in (part, label)])
+    label = F.coalesce(F.try_element_at(parts, F.split_part(F.col("usage_type"), F.lit(":"), F.lit(2))), F.lit(R.EBS_OTHER))
+    keys = [_trunc("day"), F.col("account_id"), F.col("payer_account_id"), F.col("resource_name").alias("volume_name"),
+            F.col("region_id"), F.col("billing_period")]
+    return (labelled_sums(src, keys, ["usage_type"], label, "usage_category", ["effective_cost", "usage_amount"])
+            .withColumnsRenamed({"effective_cost": "total_effective_cost", "usage_amount": "total_usage_amount"})
             .select("usage_date", "account_id", "payer_account_id", "volume_name", "usage_category", "region_id",
                     "total_effective_cost", "total_usage_amount", "billing_period"))
 
@@ -93,11 +96,11 @@ def ebs_snapshot_current(ebs_summary: DataFrame, as_of: _dt.date) -> DataFrame:
 def s3_daily(silver: DataFrame, period: PeriodRange | None = None) -> DataFrame:
     src = period_filter(silver, period).where(
         F.col("service_code").isin(S3_SERVICES) & F.col("is_running_usage") & (F.col("effective_cost") > 0))
-    cat = compile_rules(R.S3, R.S3_DEFAULT).alias("usage_category")
-    return (src.groupBy(_trunc("day"), "payer_account_id", "account_id", F.col("resource_name").alias("bucket_name"),
-                        cat, "region_id", "billing_period")
-            .agg(F.sum("effective_cost").alias("total_effective_cost"),
-                 F.sum("usage_amount").alias("total_usage_amount"))
+    keys = [_trunc("day"), F.col("payer_account_id"), F.col("account_id"), F.col("resource_name").alias("bucket_name"),
+            F.col("region_id"), F.col("billing_period")]
+    return (labelled_sums(src, keys, input_columns(R.S3, R.S3_DEFAULT), compile_rules(R.S3, R.S3_DEFAULT), "usage_category",
+                          ["effective_cost", "usage_amount"])
+            .withColumnsRenamed({"effective_cost": "total_effective_cost", "usage_amount": "total_usage_amount"})
             .select("usage_date", "payer_account_id", "account_id", "bucket_name", "usage_category", "region_id",
                     "total_effective_cost", "total_usage_amount", "billing_period"))
 
