@@ -6,6 +6,7 @@ import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costlake.oracle import core as oracle_core
 from costlake.oracle import network as oracle_network
@@ -43,7 +44,9 @@ AURORA_TARGETS = {
 
 
 def _silver(m: CostModels) -> DataFrame:
-    return m.silver.select(*SILVER_COLUMNS)
+    # unit prices are doubles of up to 12 places: rounded, so that two engines can agree on them
+    more = [F.round(F.round(c, 10), 6).alias(c) if c in oracle_core.SILVER_PRICES else c for c in oracle_core.SILVER_MORE]
+    return m.silver.select(*SILVER_COLUMNS, *more)
 
 
 def _resource_monthly(m: CostModels) -> DataFrame:
