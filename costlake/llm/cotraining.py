@@ -13,7 +13,7 @@ training documents or more whose share of bad documents differs from the whole b
 add up over a text whatever its length, so one insult among thousands of plain words counts as in a short text.
 
 Scoring covers all documents in one pass; the models (about 2 MB) go along with the tasks. A document is kept
-unless its probability of being good is below 0.4: doubt speaks for the document.
+if its probability of being good is 0.5 or more.
 
 Without labels, or with labels of one class only, there is no model: scores are 1 and all are kept. Null or
 empty texts have the features of an empty text; null metadata are values of their own. A document with
@@ -278,7 +278,7 @@ def _scores(model: Model | None, at: tuple[int, ...], prefix: str, only: bool):
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang",
-           source: str = "source", chars: str = "n_chars", least: float = 0.4) -> DataFrame:
+           source: str = "source", chars: str = "n_chars", least: float = 0.5) -> DataFrame:
     """id, text_score, meta_score, score (the combined probability of a good document) and kept of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate((text_col, lang, source))],
@@ -288,7 +288,7 @@ def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
 
 
 def filtered(docs: DataFrame, model: Model | None, text_col: str = "text", lang: str = "lang", source: str = "source",
-             chars: str = "n_chars", least: float = 0.4) -> DataFrame:
+             chars: str = "n_chars", least: float = 0.5) -> DataFrame:
     """The documents that are kept, with the columns they came with."""
     prefix = "_c_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
