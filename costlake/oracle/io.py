@@ -60,6 +60,7 @@ def oracle() -> dict[str, str]:
     pairs = " UNION ALL ".join(f"SELECT '{k}' AS tag_key, tag_{k} AS tag_value FROM bronze" for k in TAG_KEYS)
     return {
         "scan_cur": query(SCAN_CUR),
+        "scan_cur_map_layout": query(SCAN_CUR),
         "unify_tags": query(f"SELECT tag_key, tag_value, count(*) AS line_count FROM ({pairs}) GROUP BY ALL"),
         "derive_billing_period": query("SELECT billing_period, count(*) AS line_count FROM bronze GROUP BY 1"),
         "period_filter": query("""SELECT billing_period, sum(effective_cost) AS total_effective_cost,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from costlake.operators.calendar import days_per_period
 from costlake.operators.tags import tag_keys
 from costlake.session import ensure_checkpoint_dir
-from costlake.sources.cur import conform_schema
+from costlake.sources.cur import CUR_COLUMNS, conform_schema
 from costlake.sources.period import billing_period_range, period_filter
 from costlake.sources.sinks import audit_store_failures, read_evolved, sink_append, sink_table, sink_view, write_incremental
 
@@ -25,6 +25,14 @@ def bronze_projection(bronze: DataFrame) -> DataFrame:
     return bronze.drop("resource_tags")
 
 
+def conform_map_layout(raw: DataFrame) -> DataFrame:
+    """The export in its newer layout (product attributes as one ``product`` map), conformed."""
+    keys = [src[len("product['"):-2] for _, src, _, _ in CUR_COLUMNS if src.startswith("product['")]
+    flat = [k for k in keys if f"product_{k}" in raw.columns]
+    pairs = [x for k in flat for x in (F.lit(k), F.col(f"product_{k}").cast("string"))]
+    return conform_schema(raw.withColumn("product", F.create_map(*pairs)).drop(*[f"product_{k}" for k in flat]))
+
+
 def tag_pairs(bronze: DataFrame) -> DataFrame:
     """Line count per (tag key, tag value) of the unified tag map (NULL value = key present, untagged)."""
     return (bronze.select(F.explode("resource_tags").alias("tag_key", "tag_value"))

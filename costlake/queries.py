@@ -24,7 +24,8 @@ from costlake.functions.classify.catalog import FAMILIES
 from costlake.operators import freshness, normalize
 from costlake.sources.fixture import events_billing
 from costlake.operators import checks
-from costlake.plans import compute, database, network, other, storage
+from costlake.operators.period_aggregation import cost_period_aggregation
+from costlake.plans import compute, core, database, network, other, storage
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
@@ -98,7 +99,6 @@ CHECK_QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
 
 def _invoice(m: CostModels) -> DataFrame:
     # exact distinct counts so the oracle can compare them (the model's default is HyperLogLog)
-    from costlake.plans import core
     return core.invoice_monthly(m.silver, m.period, exact_distinct=True)
 
 
@@ -184,6 +184,8 @@ def _snapshot(m: CostModels) -> DataFrame:
 
 
 QUERIES.update({
+    "cost_period_aggregation_week": lambda m: cost_period_aggregation(
+        m.service_daily, period="week", group_by=core.SERVICE_KEYS, include_date_bounds=False),
     "usage_type_rollup": lambda m: normalize.usage_type_rollup(m.silver),
     "instance_series_rollup": lambda m: normalize.instance_series_rollup(m.silver),
     "resource_name_rollup": lambda m: normalize.resource_name_rollup(m.bronze),
@@ -198,6 +200,7 @@ QUERIES.update({f"classify_{fam}": (lambda m, _f=fam: classify.usage_category_ro
 QUERIES["classify_all"] = lambda m: classify.classify_all(m.silver)
 QUERIES.update({
     "scan_cur": lambda m: io.bronze_projection(m.bronze),
+    "scan_cur_map_layout": lambda m: io.bronze_projection(io.conform_map_layout(m.raw)),
     "unify_tags": lambda m: io.tag_pairs(m.bronze),
     "derive_billing_period": lambda m: io.billing_period_from_year_month(m.raw),
     "period_filter": lambda m: io.period_window_costs(m.silver, m.as_of),
