@@ -58,17 +58,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete tables that ``stored`` wrote and that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    for table in tables:
-        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
-        for folder in folders:
-            if "/llm-" in folder:
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
