@@ -30,6 +30,7 @@ source of its own; repeated rows are packed as often as they occur. An empty tab
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +43,10 @@ from pyspark.sql import functions as F
 from costlake.llm.frames import arrow_map, partitions, stored
 
 _ENCODERS: dict[str, object] = {}
+#: A run of white space that is encoded apart: the look-ahead of the pattern takes stack for each character of a
+#: run, and tiktoken panics on about a million. Those of White_Space, as the pattern's own class.
+LONG = 100_000
+RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 def _byte_of() -> dict[str, int]:
@@ -71,6 +76,23 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+def encode(model, text: str) -> list[int]:
+    """The ids of a text of any length."""
+    if len(text) < LONG:
+        return model.encode_ordinary(text)
+    out, at = [], 0
+    for run in RUN.finditer(text):
+        a, b = run.span()
+        if b - a < LONG:
+            continue
+        # The pattern leaves the last character of a run to what follows it.
+        b -= b < len(text)
+        out += model.encode_ordinary(text[at:a])
+        out += model._encode_single_piece(text[a:b])
+        at = b
+    return out + model.encode_ordinary(text[at:])
+
+
 def tokens(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
            source_col: str | None = "source") -> DataFrame:
     """A stored table with a row for each document: doc_id, source, task, before (tokens of that source
@@ -83,7 +105,7 @@ def tokens(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id",
         for batch in batches:
             before, n, ids = [], [], []
             for source, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                own = np.asarray([*model.encode_ordinary(text or ""), end_id], kind)
+                own = np.asarray([*encode(model, text or ""), end_id], kind)
                 before.append(queues.get(source, 0))
                 queues[source] = before[-1] + len(own)
                 n.append(len(own))

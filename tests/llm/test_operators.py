@@ -229,6 +229,18 @@ def test_packing_ids_are_those_of_tokenizers(documents):
         assert model.encode_ordinary(text) == own.ids
 
 
+def test_packing_long_white_space(spark):
+    """Runs on which the regular expression of tiktoken panics."""
+    from tokenizers import Tokenizer
+
+    path, n = P.path("byte_bpe_50k.json"), 1_200_000
+    t = Tokenizer.from_file(path)
+    texts = ["word" + " " * n + "x", "\n" * n, "a b  c\n" + "\r\n" * (n // 2) + " it's\t" + " " * n, " " * n + "\u3000x" + "\x1f" * 9 + " y"]
+    ids = {i: np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4") for i, x in enumerate(texts)}
+    frame = spark.createDataFrame([(i, x, "en", "a", len(x)) for i, x in enumerate(texts)], COLUMNS)
+    piece_check(packing.pack(frame, path).collect(), ids)
+
+
 # 3. sharding
 
 
