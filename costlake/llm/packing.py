@@ -60,8 +60,8 @@ def _byte_of() -> dict[str, int]:
 def encoder(path: str):
     """A tiktoken encoding with the vocabulary of a byte-level BPE file of ``tokenizers``.
 
-    Its ids are those of ``tokenizers`` (a test holds one against the other), at a quarter of the time. Made
-    once in each Python worker.
+    Its ids are those of ``tokenizers`` (a test holds one against the other), at a quarter of the time. The file's
+    added tokens are special tokens, found in texts as ``tokenizers`` finds them. Made once in each Python worker.
     """
     if path not in _ENCODERS:
         import public_tokenizers
@@ -69,28 +69,31 @@ def encoder(path: str):
 
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
-        special = {t["content"] for t in model.get("added_tokens", [])}
+        added = model.get("added_tokens", [])
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens are matched as they stand only")
+        special = {t["content"]: t["id"] for t in added}
         stand = _byte_of()
         ranks = {bytes(stand[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        _ENCODERS[path] = tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return _ENCODERS[path]
 
 
 def encode(model, text: str) -> list[int]:
-    """The ids of a text of any length."""
+    """The ids of a text of any length, added tokens included."""
     if len(text) < LONG:
-        return model.encode_ordinary(text)
-    out, at = [], 0
+        return model.encode(text, allowed_special="all")
+    out, at, added = [], 0, tuple(model.special_tokens_set)
     for run in RUN.finditer(text):
         a, b = run.span()
         if b - a < LONG:
             continue
-        # The pattern leaves the last character of a run to what follows it.
-        b -= b < len(text)
-        out += model.encode_ordinary(text[at:a])
+        # The pattern leaves the last character of a run to what follows it, but for an added token.
+        b -= b < len(text) and not text.startswith(added, b)
+        out += model.encode(text[at:a], allowed_special="all")
         out += model._encode_single_piece(text[a:b])
         at = b
-    return out + model.encode_ordinary(text[at:])
+    return out + model.encode(text[at:], allowed_special="all")
 
 
 def tokens(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",

@@ -241,6 +241,20 @@ def test_packing_long_white_space(spark):
     piece_check(packing.pack(frame, path).collect(), ids)
 
 
+def test_packing_added_tokens(spark):
+    """A literal added token has its id, as ``tokenizers`` takes it from the file."""
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    t, end = Tokenizer.from_file(path), "<|endoftext|>"
+    texts = [f"a page {end} more text", end, end * 3, f"  {end}  \n {end}x", f"it{end}'s <|endoftext| > <|ENDOFTEXT|>",
+             "a" + " " * 1_200_000 + end + "\n" * 1_200_000 + f"b {end} c"]
+    ids = {i: np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4") for i, x in enumerate(texts)}
+    assert list(ids[0]) == [64, 2443, 220, 50256, 517, 2420, 0]
+    frame = spark.createDataFrame([(i, x, "en", "a", len(x)) for i, x in enumerate(texts)], COLUMNS)
+    piece_check(packing.pack(frame, path).collect(), ids)
+
+
 # 3. sharding
 
 
