@@ -6,8 +6,8 @@ by lane modulo a power of two:
 
 * 8 lanes of 32 bits, sums of hashes of whole paragraphs modulo 2**32. They tell texts apart: equal
   multisets have equal sums, others differ but for a chance of 2**-128 a pair.
-* 256 lanes of 16 bits, sums of single hash bits of the pieces modulo 2**16, and the number of pieces. From
-  them the likeness of two texts is estimated.
+* 256 lanes of 32 bits, sums of single hash bits of the pieces, and the number of pieces. From them the
+  likeness of two texts is estimated. A text has fewer than 2**31 bytes, so no lane wraps.
 
 Sums do not depend on order, and inserting or deleting a paragraph adds or subtracts its vector
 (``combine``), so a fingerprint follows edits without the text.
@@ -15,8 +15,7 @@ Sums do not depend on order, and inserting or deleting a paragraph adds or subtr
 Likeness. With bits as +1 and -1, the products of two texts' lanes have as mean the number of equal pairs
 of pieces; ``2 ab / (aa + bb)`` of these estimates is 1 for equal and about 0 for unrelated texts; 256 lanes
 give a standard error of about 0.08. It is cut to 0..1. Two texts without pieces have likeness 1, one
-without and one with 0. Beyond 32,767 pieces lanes wrap and the likeness is only an estimate of the
-wrapped sums; equality still holds.
+without and one with 0.
 
 The next document: rows lie in buckets of ascending ids (equal width between the least and the greatest
 id; at most some hundreds for each shuffle partition), a window in each bucket finds the next row, and the
@@ -36,8 +35,12 @@ from costlake.llm.frames import partitions, stored
 
 LANES = 256
 HASHES = LANES // 64
-#: One bit in each of a long's four 16-bit fields.
+#: One bit in each of a long's four 16-bit fields, in which the bits of a block are added.
 FIELDS = 0x0001000100010001
+#: The first and third of these fields.
+HALVES = 0x0000FFFF0000FFFF
+#: One bit in each of a long's two lanes.
+ONES = 0x0000000100000001
 #: Pieces whose bits are added within one long: no field can reach its neighbour.
 BLOCK = 1 << 14
 #: Up to seven words that do not end a sentence, then one of any kind; within a line.
@@ -46,7 +49,7 @@ LOW32 = 0xFFFFFFFF
 
 
 def _packed(piece: Column) -> list[Column]:
-    """The pieces' bits as sums over rows: LANES / 4 longs with four lanes each."""
+    """The pieces' bits as sums over a block's rows: LANES / 4 longs with four fields each."""
     out, h = [], F.xxhash64(piece)
     for k in range(HASHES):
         if k:
@@ -72,7 +75,7 @@ def _paragraph_lanes(text: Column) -> list[Column]:
 
 def sums(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row for each row of ``rows`` (``keys`` must tell them apart): keys, paragraph lanes ``p`` (array of
-    8 longs), ``n`` pieces and ``packed`` (array of 64 longs, four lanes each). If rows are dealt out by some
+    8 longs), ``n`` pieces and ``packed`` (array of 128 longs, two lanes each). If rows are dealt out by some
     of the keys, this needs no shuffle."""
     # The paragraph lanes first: behind the generator they would be made anew for each piece.
     whole = rows.select(*keys, F.array(*_paragraph_lanes(F.col(text))).alias("p"), F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("pieces"))
@@ -84,16 +87,21 @@ def sums(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     # The blocks of a text: one, but for texts of over 16,384 pieces.
     blocks = by_block.select(*keys, "p", "n", F.array(*[F.coalesce(F.col(s), F.lit(0).cast("long")) for s in names]).alias("packed"))
     together = blocks.groupBy(*keys, "p").agg(F.sum("n").alias("n"), F.collect_list("packed").alias("all"))
-    return together.select(*keys, "p", "n", F.when(F.size("all") == 1, F.col("all")[0]).otherwise(
-        F.aggregate("all", F.array_repeat(F.lit(0).cast("long"), LANES // 4), lambda a, b: F.zip_with(a, b, _add))).alias("packed"))
+    return together.select(*keys, "p", "n", F.when(F.size("all") == 1, _wide(F.col("all")[0])).otherwise(
+        F.aggregate("all", F.array_repeat(F.lit(0).cast("long"), LANES // 2), lambda a, b: F.zip_with(a, _wide(b), _add))).alias("packed"))
+
+
+def _wide(fields: Column) -> Column:
+    """A block's longs of four 16-bit fields as longs of two 32-bit lanes: first and third fields, then the others."""
+    return F.concat(F.transform(fields, lambda x: x.bitwiseAND(HALVES)),
+                    F.transform(fields, lambda x: F.shiftrightunsigned(x, 16).bitwiseAND(HALVES)))
 
 
 def _add(a: Column, b: Column) -> Column:
-    """Four 16-bit lanes each, added modulo 2**16: even and odd lanes apart, so that no carry gets over."""
-    even, odd = 0x0000FFFF0000FFFF, 0x0000FFFF0000FFFF
-    low = (a.bitwiseAND(even) + b.bitwiseAND(even)).bitwiseAND(even)
-    high = (F.shiftrightunsigned(a, 16).bitwiseAND(odd) + F.shiftrightunsigned(b, 16).bitwiseAND(odd)).bitwiseAND(odd)
-    return low.bitwiseOR(F.shiftleft(high, 16))
+    """Two 32-bit lanes each, added modulo 2**32: apart, so that no carry gets over."""
+    low = (a.bitwiseAND(LOW32) + b.bitwiseAND(LOW32)).bitwiseAND(LOW32)
+    high = F.shiftrightunsigned(a, 32) + F.shiftrightunsigned(b, 32)
+    return low.bitwiseOR(F.shiftleft(high, 32))
 
 
 def encoded(p: Column, n: Column, packed: Column) -> Column:
@@ -108,20 +116,19 @@ def combine(p: Column, n: Column, packed: Column, q: Column, m: Column, other: C
     modulus = F.lit(LOW32).cast("long")
     if sign < 0:
         q, m = F.transform(q, lambda x: (LOW32 + 1 - x).bitwiseAND(modulus)), -m
-        # Two's complement of each 16-bit lane: all bits flipped, plus one.
-        other = F.transform(other, lambda x: _add(F.bitwise_not(x), F.lit(FIELDS)))
+        # Two's complement of each lane: all bits flipped, plus one.
+        other = F.transform(other, lambda x: _add(F.bitwise_not(x), F.lit(ONES)))
     return F.zip_with(p, q, lambda a, b: (a + b).bitwiseAND(modulus)), n + m, F.zip_with(packed, other, _add)
 
 
 def _lanes(n: Column, packed: Column) -> Column:
     """The lanes as sums of +1 and -1."""
-    field = F.array(*[F.lit(s) for s in (0, 16, 32, 48)])
-    return F.flatten(F.transform(packed, lambda x: F.transform(
-        field, lambda s: 2 * F.call_function("shiftrightunsigned", x, s).bitwiseAND(0xFFFF) - n)))
+    return F.concat(F.transform(packed, lambda x: 2 * x.bitwiseAND(LOW32) - n), F.transform(packed, lambda x: 2 * F.shiftrightunsigned(x, 32) - n))
 
 
 def _product(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda t, x: t + x).cast("double")
+    # As doubles: sums of squares of long texts' lanes may pass 2**63.
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda t, x: t + x)
 
 
 def likeness(n: Column, a: Column, aa: Column, m: Column, b: Column, bb: Column) -> Column:
