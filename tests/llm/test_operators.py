@@ -101,6 +101,34 @@ def test_jaccard_repeated_rows_and_nulls(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 3, 4]
 
 
+def test_jaccard_null_id_links(spark):
+    """A text that has no id but null links 1 and 9, which are not similar themselves."""
+    w, x, y = ([f"{c}{i}" for i in range(100)] for c in "wxy")
+    a, between, b = (" ".join(t) for t in (w, w[:92] + x[:8], y[:8] + w[8:92] + x[:8]))
+    assert brute_links({1: shingles(a), 2: shingles(between), 9: shingles(b)}) == {(1, 2), (2, 9)}
+    docs = [(1, a, "en", "a", 0), (None, between, "en", "a", 0), (9, b, "en", "a", 0), (4, "other words than these", "en", "a", 0)]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, COLUMNS)).collect()
+    assert same((r.doc_id, r.component_id) for r in got) == same([(1, 1), (None, 1), (9, 1), (4, 4)])
+
+
+def test_jaccard_id_of_many_texts(spark, monkeypatch):
+    """The texts of one id are found one by one, not each among all rows of the id."""
+    words = [[f"w{k}x{i}" for i in range(60)] for k in range(20)]
+    texts = [" ".join([*own[:-1], f"y{j}"]) for own in words for j in range(5)]
+    found, plain = [], jaccard.arrow_map
+
+    def watched(df, fn, schema):
+        if fn.__qualname__.startswith("_same_text"):
+            found.append(df)
+        return plain(df, fn, schema)
+
+    monkeypatch.setattr(jaccard, "arrow_map", watched)
+    docs = [(7, t, "en", "a", 0) for t in texts] + [(8, texts[0], "en", "a", 0), (9, "other words than these", "en", "a", 0)]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, COLUMNS)).collect()
+    assert same((r.doc_id, r.component_id) for r in got) == same([(7, 7)] * len(texts) + [(8, 7), (9, 9)])
+    assert [df.count() for df in found] == [len(texts)]
+
+
 def test_jaccard_empty(empty):
     assert jaccard.near_duplicates(empty).collect() == []
 
