@@ -4,11 +4,12 @@ The text view sees hashed words, their beginnings and endings, and how repetitiv
 view sees language, source, length and line lengths only. A document is good if it is labelled of quality and
 not toxic. Both views are logistic regressions on hashed features.
 
-Fitting uses a bounded sample: at most ``max_labelled`` labelled documents and about ``pool`` unlabelled ones,
-both chosen by a hash of the id. A quarter of the labelled ones is held out. In each round both views are
-fitted and calibrated on the held-out part (Platt scaling); then each view labels the documents of the pool
-it is most confident of, and these join the other view's training set. At last the two calibrated views are
-combined by a logistic regression on the held-out part. Only telling features have a weight: those seen in three
+Fitting uses at most ``max_labelled`` labelled documents, chosen by a hash of the id, one row of each; a quarter
+is held out. In each round both views are fitted and calibrated on the held-out part (Platt scaling); then each
+view scores all unlabelled documents on Spark, and those it is most confident of, a tenth of ``pool`` for each class,
+join the other view's training set. Only these reach the driver; each task keeps as many, so their number is bounded
+at any size. Equal documents are told once. The unlabelled documents' features are made once, into a table of about
+half the texts' size. At last the two calibrated views are combined by a logistic regression on the held-out part. Only telling features have a weight: those seen in three
 training documents or more whose share of bad documents differs from the whole by 3.5 standard errors. Weights
 add up over a text whatever its length, so one insult among thousands of plain words counts as in a short text.
 
@@ -25,7 +26,7 @@ names.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,12 +50,6 @@ class View:
     start: np.ndarray
     index: np.ndarray
 
-    def take(self, rows: np.ndarray) -> View:
-        size = np.diff(self.start)[rows]
-        start = np.concatenate([[0], np.cumsum(size)])
-        at = np.repeat(self.start[rows] - start[:-1], size) + np.arange(start[-1])
-        return View(start, self.index[at])
-
     @staticmethod
     def of(parts: list[np.ndarray]) -> View:
         return View(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64),
@@ -184,78 +179,136 @@ class Model:
         return _p(t), _p(m), _p(t * self.both[0] + m * self.both[1] + self.both[2])
 
 
-def cotrain(text: View, meta: View, good: np.ndarray, labelled: np.ndarray, held: np.ndarray, rounds: int = 3,
-            per_round: float = 0.1, sure: float = 0.98) -> Model | None:
-    """Fits the views on rows that are labelled and not held, and on what they tell each other of the others.
+#: Of a round: the models, their scales and the keys that each view knows, to the documents each view tells the
+#: other of: (view, label) -> (key, text features, metadata features).
+Told = dict[tuple[int, bool], list[tuple[int, np.ndarray, np.ndarray]]]
 
-    Each round a view gives at most ``per_round`` of the pool for each class, and only rows it gives a
-    probability of ``sure`` or more.
-    """
-    views, bits = (text, meta), (TEXT_BITS, META_BITS)
-    train = labelled & ~held
-    if not (good[train].any() and (~good[train]).any() and good[held].any() and (~good[held]).any()):
-        return None
-    known = [train.copy(), train.copy()]
-    label = [good.copy(), good.copy()]
+
+def cotrain(text: list[np.ndarray], meta: list[np.ndarray], good: np.ndarray, held: np.ndarray,
+            tell: Callable[[list, list, list[set[int]]], Told], rounds: int = 3) -> Model:
+    """Fits the views on labelled documents that are not held, and on what they tell each other of the others."""
+    views, bits, train, rest = (text, meta), (TEXT_BITS, META_BITS), np.flatnonzero(~held), np.flatnonzero(held)
+    held_out = [View.of([v[i] for i in rest]) for v in views]
+    known: list[dict] = [{}, {}]  # by view: key -> features of both views, label
     told = []
     for turn in range(rounds + 1):
         models, scales = [], []
         for k in (0, 1):
-            rows = np.flatnonzero(known[k])
-            models.append(fit(views[k].take(rows), label[k][rows], bits[k]))
-            scales.append(calibrate([views[k].take(np.flatnonzero(held)).logits(models[k])], good[held]))
+            rows = View.of([views[k][i] for i in train] + [x[k] for x in known[k].values()])
+            label = np.concatenate([good[train], np.array([x[2] for x in known[k].values()], bool)])
+            models.append(fit(rows, label, bits[k]))
+            scales.append(calibrate([held_out[k].logits(models[k])], good[held]))
         if turn == rounds:
             break
-        most, given = max(1, int(per_round * (~labelled).sum())), []
-        for k in (0, 1):
-            other = 1 - k
-            p = _p(views[k].logits(models[k]) * scales[k][0] + scales[k][1])
-            for value, belief in ((True, p), (False, 1 - p)):
-                free = np.flatnonzero(~labelled & ~known[other] & (belief >= sure))
-                best = free[np.argsort(-belief[free], kind="stable")[:most]]
-                known[other][best] = True
-                label[other][best] = value
-                given.append(len(best))
-        told.append(tuple(given))
-    rows = np.flatnonzero(held)
-    calibrated = [views[k].take(rows).logits(models[k]) * scales[k][0] + scales[k][1] for k in (0, 1)]
+        found = tell(models, scales, [set(x) for x in known])
+        for (k, value), rows in found.items():
+            known[1 - k].update({key: (t, m, value) for key, t, m in rows})
+        told.append(tuple(len(rows) for rows in found.values()))
+    calibrated = [held_out[k].logits(models[k]) * scales[k][0] + scales[k][1] for k in (0, 1)]
     both = calibrate(calibrated, good[held])
     return Model(models[0].astype(np.float32), models[1].astype(np.float32), scales[0], scales[1], both, tuple(told))
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coded(features: np.ndarray) -> bytes:
+    """Sorted feature numbers as three planes of bytes of their differences, which compress well."""
+    step = np.diff(features, prepend=0).astype("<u4")
+    return step.view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes()
+
+
+def _decoded(data: bytes) -> np.ndarray:
+    step = np.frombuffer(data, np.uint8).reshape(3, -1).astype(np.int32)
+    return np.cumsum(step[0] | step[1] << 8 | step[2] << 16, dtype=np.int32)
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, key and the features of text and metadata, from id, c0 to c3 and key."""
     for batch in batches:
         docs = texts(batch.column(1))
-        t = [x.tobytes() for x in text_features(docs)]
-        m = [x.tobytes() for x in meta_features(docs, *(batch.column(i).to_pylist() for i in (2, 3, 4)))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), batch.column(6), pa.array(t, pa.binary()), pa.array(m, pa.binary())],
-                                         names=["order", "labelled", "good", "t", "m"])
+        t = [_coded(x) for x in text_features(docs)]
+        m = [_coded(x) for x in meta_features(docs, *(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), pa.array(t, pa.binary()), pa.array(m, pa.binary())],
+                                         names=["id", "key", "t", "m"])
+
+
+def _confident(models: list, scales: list, known: list[set[int]], most: int, sure: float):
+    """slot (2 * view + label), belief, key, t, m of the documents a task's views are most confident of and the
+    other view doesn't know: at most ``most`` in each slot, and only with a probability of ``sure`` or more."""
+    have = [np.fromiter(x, np.int64, len(x)) for x in known]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[dict] = [{} for _ in range(4)]
+        least = [sure] * 4
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).to_numpy()
+            for k in (0, 1):
+                view = View.of([_decoded(x) for x in batch.column(1 + k).to_pylist()])
+                p = _p(view.logits(models[k]) * scales[k][0] + scales[k][1])
+                new = ~np.isin(keys, have[1 - k])
+                for value, belief in ((0, 1 - p), (1, p)):
+                    slot = 2 * k + value
+                    for i in np.flatnonzero(new & (belief >= least[slot])).tolist():
+                        best[slot][int(keys[i])] = (float(belief[i]), batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+                    if len(best[slot]) > most:
+                        best[slot] = dict(sorted(best[slot].items(), key=lambda x: (-x[1][0], x[0]))[:most])
+                        least[slot] = min(x[0] for x in best[slot].values())
+        rows = [(slot, key, *x) for slot in range(4) for key, x in best[slot].items()]
+        slots, keys, belief, t, m = zip(*rows, strict=True) if rows else ((),) * 5
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(belief, pa.float64()), pa.array(keys, pa.int64()),
+                                          pa.array(t, pa.binary()), pa.array(m, pa.binary())], names=["slot", "belief", "key", "t", "m"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, pool: int = 4000, id_col: str = "doc_id",
-          text_col: str = "text", lang: str = "lang", source: str = "source", chars: str = "n_chars") -> Model | None:
-    """Fits the model on a bounded sample of documents and labels (doc_id, quality, toxic)."""
+          text_col: str = "text", lang: str = "lang", source: str = "source", chars: str = "n_chars",
+          per_round: float = 0.1, sure: float = 0.98) -> Model | None:
+    """Fits the model on a bounded sample of the labels (doc_id, quality, toxic) and on all unlabelled documents.
+
+    Each round a view gives at most ``per_round`` of ``pool`` documents for each class, and only those it gives a
+    probability of ``sure`` or more.
+    """
     order = F.xxhash64(F.col("doc_id"), F.lit(17))
-    one = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(
+    every = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(
         ((F.coalesce(F.min("quality"), F.lit(1)) == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) == 0)).alias("good"))
     # A bounded table: the planner knows its size once it is stored.
-    one = stored(one.orderBy(order, "doc_id").limit(max_labelled).select(F.col("doc_id").alias("l_id"), "good"), "labels")
+    one = stored(every.orderBy(order, "doc_id").limit(max_labelled).select(F.col("doc_id").alias("l_id"), "good"), "labels")
+    content = ["c0", "c1", "c2", "c3"]
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate((text_col, lang, source))],
                        F.col(f"`{chars}`").cast("long").alias("c3"))
-    total = docs.count()
-    share = min(1.0, pool / max(total, 1))
-    picked = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(19)), F.lit(1 << 20)) < int(share * (1 << 20))
-    joined = rows.join(one, F.col("doc_id") == F.col("l_id"), "left").where(F.col("good").isNotNull() | picked)
-    sample = joined.select(order.alias("order"), "c0", "c1", "c2", "c3", F.col("good").isNotNull().alias("labelled"),
-                           F.coalesce("good", F.lit(False)).alias("good"))
-    got = arrow_map(sample, _sample, "order long, labelled boolean, good boolean, t binary, m binary").toArrow()  # bounded, see above
+    kind, key = rows.schema["doc_id"].dataType.simpleString(), F.xxhash64(*content).alias("key")
+    # One row of each labelled id, whatever rows the id has; added up within tasks first.
+    sample = rows.join(one, F.col("doc_id") == F.col("l_id")).groupBy("doc_id").agg(
+        F.min_by(F.struct(*content), F.xxhash64(*content)).alias("c"))
+    sample = arrow_map(sample.select("doc_id", "c.*", order.alias("key")), _features, f"id {kind}, key long, t binary, m binary")
+    got = sample.join(one, F.col("id") == F.col("l_id")).select(F.col("key").alias("order"), "good", "t", "m").toArrow()  # max_labelled rows at most
     if not got.num_rows:
         return None
     got = got.sort_by("order")
-    labelled, good = (got.column(c).to_numpy() for c in ("labelled", "good"))
-    text, meta = (View.of([np.frombuffer(x, np.int32) for x in got.column(c).to_pylist()]) for c in ("t", "m"))
-    place = mix(got.column("order").to_numpy().view(U))
-    return cotrain(text, meta, good, labelled, labelled & (place % U(4) == U(0)))
+    good = got.column("good").to_numpy()
+    text, meta = ([_decoded(x) for x in got.column(c).to_pylist()] for c in ("t", "m"))
+    held = mix(got.column("order").to_numpy().view(U)) % U(4) == U(0)
+    if not (good[~held].any() and (~good[~held]).any() and good[held].any() and (~good[held]).any()):
+        return None
+
+    features = arrow_map(rows.select("doc_id", *content, key), _features, f"id {kind}, key long, t binary, m binary")
+    features = stored(features.join(every, F.col("id") == F.col("doc_id"), "left_anti").select("key", "t", "m"), "features")
+    most = max(1, int(per_round * pool))
+
+    def tell(models: list, scales: list, known: list[set[int]]) -> Told:
+        small = [model.astype(np.float32) for model in models]
+        found = stored(arrow_map(features, _confident(small, scales, known, most, sure), "slot int, belief double, key long, t binary, m binary"), "told")
+        out: Told = {}
+        for k in (0, 1):
+            for value in (True, False):
+                # Several tasks may have copies of one document.
+                own = found.where(F.col("slot") == 2 * k + value).groupBy("key").agg(F.max("belief").alias("belief"), F.first("t").alias("t"), F.first("m").alias("m"))
+                top = own.orderBy(F.col("belief").desc(), "key").limit(most).collect()  # bounded
+                out[k, value] = [(r.key, _decoded(r.t), _decoded(r.m)) for r in top]
+        return out
+
+    return cotrain(text, meta, good, held, tell)
 
 
 def _scores(model: Model | None, at: tuple[int, ...], prefix: str, only: bool):

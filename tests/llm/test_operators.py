@@ -366,6 +366,27 @@ def test_cotraining_held_out(spark):
     assert {r.doc_id for r in left.collect()} == {i for i in rows if rows[i].kept}
 
 
+def test_cotraining_sample_is_bounded_and_pool_is_not(spark, monkeypatch):
+    """One row of each labelled id, though one id has most rows; all unlabelled documents are scored."""
+    docs, labels = labelled(700, 10)
+    more, _ = labelled(900, 11)
+    hot = [(0, *d[1:]) for d in more]  # a labelled id
+    nulls = [(None, *d[1:]) for d in more[:50]]
+    df = spark.createDataFrame(docs + hot + nulls, COLUMNS)
+    given = spark.createDataFrame(labels[:400], "doc_id long, quality int, toxic int")
+    seen, plain = [], cotraining.arrow_map
+
+    def watched(df, fn, schema):
+        seen.append((fn, df))
+        return plain(df, fn, schema)
+
+    monkeypatch.setattr(cotraining, "arrow_map", watched)
+    model = cotraining.train(df, given, pool=100)
+    rows = [df.count() for _, df in seen]
+    assert rows[0] == 400 and rows[2:] == [300 + 50] * 3
+    assert 0 < max(map(max, model.exchanged)) <= 10
+
+
 def test_cotraining_edges(spark, frame, empty, documents):
     docs, labels = labelled(200, 9)
     given = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
