@@ -2,11 +2,14 @@
 
 A page is read into a tree of elements (unclosed and stray tags are tolerated). Subtrees that can't be
 article text are cut: scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts, reader
-comments, hidden parts - by element, role, or the words of class and id. Then every block with text passes
+comments, hidden parts - by element, role, or the words of class and id. Of a class or id its whole, first or last
+word counts, and none if it tells a state (has-footer). An element that is named so but holds the page's main part is
+no such part (``spared``). Then every block with text passes
 points to its ancestors: one, one for each comma, and one for each 100 characters up to three, times one
 minus its link density; the parent gets them whole, the grandparent half, higher ones a third of that by
 level. A container's own score is discounted by its own link density. The best container is kept, and those of
-its siblings that score a fifth of it or are plain sentences; a heading before it too.
+its siblings that score a fifth of it or are plain sentences; a heading before it too, and behind it lists, tables and
+sections with few links, and the headings before these.
 
 Kept text: character references decoded, white space within a block turned into one space and trimmed, blocks
 in page order joined by an empty line. Nothing else is dropped or cut.
@@ -56,15 +59,18 @@ NEVER = frozenset("ad ads adv advert adverts advertisement advertising adsense a
 UNLIKELY = frozenset("sidebar side header banner notice notices alert warning widget widgets hidden tools meta tags rail aside "
                      "skip print outbrain taboola".split())
 MAY = frozenset("article articles content main body post entry story text page blog hentry prose column wrapper container".split())
+#: First words of classes that tell a state of the page, not what the element is.
+STATE = frozenset("has have no not with without is show hide hides".split())
 POSITIVE = frozenset("article content main post entry story text body hentry prose".split())
+CONTENT = frozenset("article content main post entry story".split())
 BASE = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 3.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0,
         "dl": -3.0, "li": -3.0, "table": -3.0, "body": 0.0, "html": -5.0}
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 SENTENCE = re.compile(r"[.!?…](?:\s|$)")
 
 
-def words_of(value: str) -> set[str]:
-    return {w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value) if w}
+def words_of(value: str) -> list[str]:
+    return [w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value) if w]
 
 
 class Tree:
@@ -72,6 +78,8 @@ class Tree:
 
     def __init__(self, page: str) -> None:
         self.tag, self.parent, self.cut, self.bonus = ["#page"], [-1], [False], [0.0]
+        #: Elements that class or id cut, unless they are spared: whether a whole class or id does.
+        self.named: dict[int, bool] = {}
         #: (element, text) in page order, for text that is not cut.
         self.texts: list[tuple[int, str]] = []
         open_, at, n = [0], 0, len(page)
@@ -107,6 +115,35 @@ class Tree:
                 continue
             open_.append(node)
             self.open[name] = self.open.get(name, 0) + 1
+        if self.named:
+            self.drop()
+
+    def drop(self) -> None:
+        """Cuts the named elements that are not spared, with all in them."""
+        n = len(self.tag)
+        inside, size = [False] * n, [0] * n
+        for i in range(1, n):
+            inside[i] = self.tag[i] in ("p", "pre", "blockquote") or inside[self.parent[i]]
+        for node, text in self.texts:
+            if inside[node]:
+                size[node] += len(" ".join(text.split()))
+        marks = {t: {next((i for i in range(1, n) if self.tag[i] == t and not self.cut[i]), 0)} - {0} for t in ("main", "article", "h1")}
+        holds = [[i in marks[t] for i in range(n)] for t in marks]
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            size[p] += size[i]
+            for h in holds:
+                h[p] = h[p] or h[i]
+        for i in range(1, n):
+            self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or i in self.named and not self.spared(
+                self.named[i], 2 * size[i] > size[0], *(h[i] for h in holds))
+        self.texts = [(node, text) for node, text in self.texts if not self.cut[node]]
+
+    @staticmethod
+    def spared(whole: bool, most: bool, main: bool, article: bool, h1: bool) -> bool:
+        """Whether a named element is the main part after all: by the page's first main, article and h1, and whether
+        it has most of the paragraphs' text. Readers' comments may have that too, so a whole name takes a heading."""
+        return main or (most and h1 if whole else most or article or h1)
 
     def add(self, node: int, text: str) -> None:
         if not self.cut[node]:
@@ -117,7 +154,9 @@ class Tree:
         if not cut:
             cut = name in CUT or name == "header" and not (self.open.get("article") or self.open.get("main"))
             if rest and not cut:
-                cut, bonus = self.judged(name, rest)
+                cut, bonus, named = self.judged(name, rest)
+                if named is not None:
+                    self.named[len(self.tag)] = named
         self.tag.append(name)
         self.parent.append(parent)
         self.cut.append(cut)
@@ -125,22 +164,33 @@ class Tree:
         return len(self.tag) - 1
 
     @staticmethod
-    def judged(name: str, rest: str) -> tuple[bool, float]:
-        """Whether an element's attributes cut it, and what they add to its score."""
+    def judged(name: str, rest: str) -> tuple[bool, float, bool | None]:
+        """Whether an element's attributes cut it, what they add to its score, and whether class or id name it as a
+        part to cut (None: no): with a whole class or id, or with a part of one."""
         found: set[str] = set()
+        ends: set[str] = set()
+        whole = plain = False
         for a in ATTRIBUTE.finditer(rest):
             key = (a[1] or "hidden").lower()
             value = a[2] or a[3] or a[4] or ""
             if key in ("class", "id"):
-                found |= words_of(value)
+                for token in value.split():
+                    words = words_of(token)
+                    if not words or len(words) > 1 and words[0] in STATE:
+                        continue
+                    found.update(words)
+                    ends.update((words[0], words[-1]))
+                    whole = whole or len(words) == 1 and words[0] in NEVER
+                    plain = plain or len(words) == 1 and words[0] in CONTENT
             elif key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-                return name not in ("html", "body"), 0.0
+                return name not in ("html", "body"), 0.0, None
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return name not in ("html", "body"), 0.0
+                return name not in ("html", "body"), 0.0, None
         if name in ("html", "body", "main", "article") or not found:
-            return False, 0.0
-        cut = bool(found & NEVER) or bool(found & UNLIKELY) and not found & MAY
-        return cut, 25.0 if found & POSITIVE else 0.0
+            return False, 0.0, None
+        # Beside a plain name of content (id="content") a part of a name tells nothing.
+        cut = whole or bool(ends & NEVER) and not plain or bool(ends & UNLIKELY) and not found & MAY
+        return False, 25.0 if found & POSITIVE else 0.0, whole if cut else None
 
     def close(self, open_: list[int], name: str) -> None:
         """Ends the nearest open element of that name with all in it; a stray end tag does nothing."""
@@ -223,6 +273,7 @@ def extract(page: str) -> str:
         best = next((i for t in ("article", "main", "body") for i in range(1, n) if tree.tag[i] == t and not tree.cut[i]), 0)
     chosen = {best}
     if best > 0:
+        heads: list[int] = []  # behind the best container, with nothing chosen behind them yet
         for i in range(tree.parent[best] + 1, n):
             if tree.parent[i] != tree.parent[best] or i == best or tree.cut[i] or not total[i]:
                 continue
@@ -233,6 +284,15 @@ def extract(page: str) -> str:
                 chosen.add(i)
             elif tree.tag[i] in ("p", "pre", "blockquote") and (density < 0.25 if total[i] > 80 else density == 0 and sentence[i]):
                 chosen.add(i)
+            elif i > best and tree.tag[i] in HEADING and density < 0.25:
+                heads.append(i)
+            elif i > best and tree.tag[i] in ("ul", "ol", "dl", "table", "section", "figure") and density < 0.25:
+                chosen.add(i)
+            elif i > best:
+                heads = []
+            if i > best and i in chosen:
+                chosen.update(heads)
+                heads = []
     keep = [False] * n
     keep[0] = 0 in chosen
     for i in range(1, n):

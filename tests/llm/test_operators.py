@@ -549,6 +549,16 @@ def test_html(name):
     assert html.extract(PAGE % name).split("\n\n") == EXPECTED
 
 
+@pytest.mark.parametrize("wrapper", ["class='page has-footer'", "id='content' class='nav-open'", "class='post-content no-comments'", "class='main with-share'"])
+def test_html_wrappers(wrapper):
+    """Layout wrappers keep the article; lists, tables and headings behind the best part stay."""
+    text = "A sentence of the article, with commas, and words enough to score as a paragraph of its own."
+    page = (f"<body><div class='site-footer'><p>{text} Footer.</p></div><div {wrapper}><div class='x'><p>{text}</p><p>{text}</p></div>"
+            "<h2>Parts</h2><ul><li>First part</li><li>Second</li></ul><table><tr><td>Cell</td></tr></table>"
+            f"</div><div id='comments'><p>{text} Comment.</p></div></body>")
+    assert html.extract(page).split("\n\n") == [text, text, "Parts", "First part", "Second", "Cell"]
+
+
 def test_html_odd_pages(spark):
     pages = [(1, "u", None), (2, "u", ""), (3, None, "just text"), (4, "u", "<p>"), (5, "u", "<article><p>Hi.</article>"), (6, "u", "<<<a b='>x"),
              (7, "u", "<div>" * 20000 + "deep text, that is long enough to count here" + "</div>" * 20000), (8, "u", "<!-- open"), (9, "u", "<script>never closed"),
