@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from costlake.llm import bpe, chat, cotraining, fingerprint, html, jaccard, packing, quality_rules, repeats, sharding, sql
+from costlake.llm import bpe, chat, cotraining, fingerprint, html, jaccard, packing, quality_rules, repair, repeats, resampling, sharding, sql, warc
 
 #: Bytes of text in a shard of op3_sharding.
 SHARD_BYTES = 1 << 20
@@ -72,6 +73,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as seekable WARC bundles and read back from them."""
+    folder = warc.write(table(spark, sf_dir, "pages"), 0)
+    return warc.read(spark, folder).where("record_type in ('response', 'revisit')").select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule and repaired at the least cost."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.report(rows, repair.damaged(rows))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents, drawn by their likeness to the benchmark's n-grams."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_jaccard": op1_jaccard,
     "op2_packing": op2_packing,
@@ -83,6 +103,9 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
+    "op11_warc": op11_warc,
+    "op12_repair": op12_repair,
+    "op13_resampling": op13_resampling,
 }
 
 #: DuckDB SQL of those queries that SQL can express; tests hold the others against brute force or libraries.
@@ -91,4 +114,7 @@ ORACLE: dict[str, str] = {
     "op3_sharding": sql.sharding(SHARD_BYTES),
     "op6_quality_rules": sql.quality_rules(quality_rules.RATIOS, quality_rules.REACH, quality_rules.GAMMA, quality_rules.LEAST),
     "op9_chat": sql.chat(),
+    "op11_warc": sql.warc(),
+    "op12_repair": sql.repair(),
+    "op13_resampling": sql.resampling(),
 }
