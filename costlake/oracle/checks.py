@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from costlake.oracle.base import query
-from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, _invoice_sql, rdec
+from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, invoice_sql, rdec
 from costlake.oracle.compute import HOURLY, HOURLY_SRC
 from costlake.sources.seeds import seed_values_sql
 
@@ -65,7 +65,7 @@ def oracle() -> dict[str, str]:
         "check_invoice_complete": query(f"""
             SELECT * FROM (SELECT count(*) AS total_invoices, count(*) FILTER (invoice_id IS NULL OR invoice_id = '') AS missing_invoice_ids,
                 count(*) FILTER (NOT is_invoice_complete) AS incomplete_invoices, 20 AS current_day
-              FROM ({_invoice_sql()}) WHERE CAST(billing_period_start_date AS DATE) = DATE '2001-08-01')
+              FROM ({invoice_sql()}) WHERE CAST(billing_period_start_date AS DATE) = DATE '2001-08-01')
             WHERE missing_invoice_ids > 0 OR incomplete_invoices > 0"""),
         "severity_gate": query("""
             SELECT "check", failures, severity,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from costlake.oracle.base import TAG_KEYS, query
 from costlake.oracle.checks import SERVE
-from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY
+from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, invoice_sql
 from costlake.sources.seeds import seed_values_sql
 
 #: The conformed export: every column, missing ones typed NULL. (The tag map is compared by unify_tags.)
@@ -71,7 +71,11 @@ def oracle() -> dict[str, str]:
                          ELSE max(usage_date) END, INTERVAL 1 DAY)) AS d FROM silver) GROUP BY 1"""),
         "tag_key_discovery": query(" UNION ".join(f"SELECT '{k}' AS tag_key FROM silver" for k in TAG_KEYS)),
         **{name: query("SELECT * FROM service_daily", ("cost_daily", COST_DAILY), ("service_daily", SERVICE_DAILY))
-           for name in ("sink_incremental_overwrite", "sink_view", "sink_table", "sink_append")},
+           for name in ("sink_incremental_overwrite", "sink_view", "sink_table", "sink_append", "delta_refresh_service_daily")},
+        "delta_refresh_invoices": query(invoice_sql()),
+        "sketch_accuracy": query("""SELECT billing_period, count(DISTINCT account_id || resource_id) AS exact_resources,
+            count(effective_cost) AS n_costs, true AS resources_within, true AS merged_resources_within, true AS merge_is_whole,
+            true AS median_within, true AS merged_median_within FROM silver GROUP BY billing_period"""),
         "evolve_schema_append": query("""SELECT * REPLACE (CASE WHEN billing_period >= '2001-06' THEN service_category END
             AS service_category) FROM service_daily""", ("cost_daily", COST_DAILY), ("service_daily", SERVICE_DAILY)),
         "audit_store_failures": query("""

@@ -8,6 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from costlake.operators.partials import QUANTILE_K, Measure, Partials, distinct, lines, quantile, quantiles
 from costlake.functions.classify import compile_rules
 from costlake.functions.classify import compute as R
 from costlake.functions.columns import nullif, round_half_up, safe_div, split_part_null, sum_when
@@ -285,10 +286,29 @@ TYPE_KEYS = ["service_code", "service_name", "region_id", "instance_type", "inst
              "processor_generation", "latest_intel", "latest_amd", "latest_graviton"]
 
 
+UTILIZATION_RANKS = [("pct_utilization_p5", 0.05), ("pct_utilization_median", 0.5), ("pct_utilization_p95", 0.95)]
+
+
+def utilization_sketch(k: int = QUANTILE_K) -> Measure:
+    return quantiles("utilization_sketch", "pct_utilization", k)
+
+
+def utilization_partials(k: int = QUANTILE_K) -> Partials:
+    """Utilisation of instance types by billing period and account as stored sketches, to be merged to any coarser grain."""
+    return Partials([*TYPE_KEYS, "account_id", "billing_period"],
+                    [lines(), distinct("count_resources", F.concat("account_id", "resource_id")), utilization_sketch(k)])
+
+
+def utilization_over_time(merged: DataFrame) -> DataFrame:
+    """Percentiles of merged ``utilization_partials``, whatever periods and accounts they add up."""
+    out = utilization_partials().final(merged)
+    return out.select("*", *[F.round(quantile("utilization_sketch", p), 4).alias(n) for n, p in UTILIZATION_RANKS]).drop("utilization_sketch")
+
+
 def instance_type_aggregation(resource_monthly: DataFrame, include_account: bool = False,
-                              period: PeriodRange | None = None, accuracy: int = 10000) -> DataFrame:
+                              period: PeriodRange | None = None, k: int = QUANTILE_K) -> DataFrame:
     """Per instance type (and account): distinct accounts/resources, utilisation average and
-    p5/p50/p95 (mergeable percentile sketch), savings, usage mix, rates and discounts."""
+    p5/p50/p95 (KLL sketch, exact for groups of up to ``k`` resources), savings, usage mix, rates and discounts."""
     src = period_filter(resource_monthly, period)
     acct = ["account_id", "payer_account_id"] if include_account else []
     res_key = F.concat("account_id", "resource_id")
@@ -303,8 +323,7 @@ def instance_type_aggregation(resource_monthly: DataFrame, include_account: bool
                                       "total_usage_hours", "total_usage_amount", "total_normalized_usage_amount")],
         F.max("total_hours_month").alias("total_hours_month"),
         safe_div(uh, F.max("total_hours_month") * F.countDistinct(res_key)).alias("pct_utilization_avg"),
-        *[F.percentile_approx("pct_utilization", p, accuracy).alias(n) for p, n in
-          ((0.05, "pct_utilization_p5"), (0.5, "pct_utilization_median"), (0.95, "pct_utilization_p95"))],
+        utilization_sketch(k).partial,
         *[F.sum(c).alias(f"total_{c}") for c in ("savings_mon_to_fri_full_day", "savings_mon_to_fri_work_hours",
                                                   "savings_target_50_pct")],
         safe_div(F.sum(field("total_usage_hours_purchase", "ondemand")), uh).alias("pct_usage_ondemand"),
@@ -318,6 +337,7 @@ def instance_type_aggregation(resource_monthly: DataFrame, include_account: bool
                  F.sum(field("total_usage_amount_purchase", name)).alias(f"usage_{name}"),
                  F.sum(field("total_list_cost_purchase", name)).alias(f"list_{name}")]
     g = src.groupBy("usage_date", "billing_period", *acct, *TYPE_KEYS).agg(*aggs)
+    g = g.select("*", *[quantile("utilization_sketch", p).alias(n) for n, p in UTILIZATION_RANKS])
 
     def rate(num, den):
         return round_half_up(safe_div(num, den), 4)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions.columns import blank_to_null
+from costlake.operators.partials import Partials, distinct, lines, total
 from costlake.operators.pivots import charge_type_pivot
 from costlake.operators.period_aggregation import cost_period_aggregation
 from costlake.operators.tags import discover_tag_keys, flatten_tags
@@ -63,33 +64,48 @@ INVOICE_KEYS = ["billing_period_start_date", "billing_period_end_date", "invoice
                 "billing_entity", "legal_entity", "bill_type", "invoicing_entity"]
 
 
-def invoice_monthly(silver: DataFrame, period: PeriodRange | None = None, exact_distinct: bool = False) -> DataFrame:
-    """Per invoice: 4 cost totals, 4 charge-type structs, completeness flag, approximate counts.
+COSTS = ("effective_cost", "billed_cost", "contracted_cost", "list_cost")
 
-    ``exact_distinct=True`` swaps the HyperLogLog counts for exact ones (used by the oracle test).
-    """
-    src = period_filter(silver, period)
-    distinct = F.countDistinct if exact_distinct else F.approx_count_distinct
+
+def invoice_partials() -> Partials:
+    """Partials of the invoices: costs by charge type (pivoted after they are added up) and sketches of what is counted."""
+    return Partials(
+        [*INVOICE_KEYS, "is_invoice_complete", "charge_type", "billing_period"],
+        [*[total(f"total_{m}", m) for m in COSTS], lines(),
+         distinct("unique_services_approx", "service_code"), distinct("unique_regions_approx", "region_id"),
+         distinct("unique_accounts_approx", "account_id"), distinct("unique_resources_approx", F.concat("account_id", "resource_id"))])
+
+
+def invoice_lines(silver: DataFrame) -> DataFrame:
+    """Lines with the invoice's completeness flag, a key of ``invoice_partials``."""
     complete = ~F.coalesce(blank_to_null("invoice_id").isNull(), F.lit(False))
-    aggs = [F.round(F.sum(m), 4).alias(f"total_{m}") for m in
-            ("effective_cost", "billed_cost", "contracted_cost", "list_cost")]
-    aggs += [charge_type_pivot(m).alias(f"total_{m}_charge_types") for m in
-             ("effective_cost", "billed_cost", "contracted_cost", "list_cost")]
-    aggs += [
-        distinct("service_code").alias("unique_services_approx"),
-        distinct("region_id").alias("unique_regions_approx"),
-        distinct("account_id").alias("unique_accounts_approx"),
-        distinct(F.concat("account_id", "resource_id")).alias("unique_resources_approx"),
-    ]
-    out = src.groupBy(*INVOICE_KEYS, complete.alias("is_invoice_complete"), "billing_period").agg(*aggs)
+    return silver.withColumn("is_invoice_complete", complete)
+
+
+def invoice_from_partials(partials: DataFrame) -> DataFrame:
+    """Per invoice: 4 cost totals, 4 charge-type structs, completeness flag, distinct counts by merged sketches.
+
+    ``partials``: rows of ``invoice_partials``, of one pass or of any number of batches and days.
+    """
+    keys = [*INVOICE_KEYS, "is_invoice_complete", "billing_period"]
+    counts = [m for m in invoice_partials().measures if m.name.startswith("unique_")]
+    aggs = [F.round(F.sum(f"total_{m}"), 4).alias(f"total_{m}") for m in COSTS]
+    aggs += [charge_type_pivot(f"total_{m}").alias(f"total_{m}_charge_types") for m in COSTS]
+    out = partials.groupBy(*keys).agg(*aggs, *[m.merge for m in counts])
     return out.select(
         F.col("billing_period_start_date").alias("usage_date"), *INVOICE_KEYS, "is_invoice_complete",
-        "total_effective_cost", "total_billed_cost", "total_contracted_cost", "total_list_cost",
-        "total_effective_cost_charge_types", "total_billed_cost_charge_types",
-        "total_contracted_cost_charge_types", "total_list_cost_charge_types",
-        "unique_services_approx", "unique_regions_approx", "unique_accounts_approx",
-        "unique_resources_approx", "billing_period",
-    )
+        *[f"total_{m}" for m in COSTS], *[f"total_{m}_charge_types" for m in COSTS], *[m.final.alias(m.name) for m in counts], "billing_period")
+
+
+def invoice_monthly(silver: DataFrame, period: PeriodRange | None = None) -> DataFrame:
+    """The invoices of all lines: one pass adds up partials by charge type, the few partial rows are pivoted."""
+    return invoice_from_partials(invoice_partials().of(invoice_lines(period_filter(silver, period))))
+
+
+def service_partials() -> Partials:
+    """Partials of the daily service cost, the model's own grain."""
+    return Partials(["usage_date", *SERVICE_KEYS, "billing_period"],
+                    [*[total(c, c) for c in ("total_effective_cost", "total_billed_cost", "total_list_cost")], lines()])
 
 
 RESOURCE_TAG_KEYS = ["account_id", "payer_account_id", "billing_entity", "legal_entity", "service_code",

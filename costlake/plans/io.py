@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlake.operators.calendar import days_per_period
+from costlake.operators.partials import LG_K, QUANTILE_K, Partials, distinct, distinct_error, lines, quantile, quantiles, rank_error
 from costlake.operators.tags import tag_keys
+from costlake.plans.compute import TYPE_KEYS, utilization_over_time, utilization_partials
+from costlake.plans.core import COSTS, invoice_from_partials, invoice_lines, invoice_partials, service_partials
+from costlake.plans.refresh import DeltaTable
 from costlake.session import ensure_checkpoint_dir
 from costlake.sources.cur import CUR_COLUMNS, conform_schema
 from costlake.sources.period import billing_period_range, period_filter
@@ -109,6 +113,84 @@ def audit_round_trip(failures: dict[str, DataFrame]) -> DataFrame:
     return spark.read.parquet(path).groupBy(F.col("check").cast("string").alias("check")).agg(F.count("row").alias("failures"))
 
 
+def _batches(facts: DataFrame, key: str = "account_id") -> list[tuple[str, DataFrame]]:
+    """The facts as three batches by account, as an export that comes in one delivery for each group of accounts."""
+    part = F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(3))
+    return [(f"delivery-{k}", facts.where(part == k)) for k in range(3)]
+
+
+def delta_round_trip(facts: DataFrame, partials: Partials, costs: list[str], name: str) -> DeltaTable:
+    """Three batches applied one by one, and a fourth that replaces the second.
+
+    The second comes first with doubled costs and only half of its periods, some of them shifted into periods that
+    its corrected version doesn't have; the corrected version takes all of that back.
+    """
+    table = DeltaTable(facts.sparkSession, _new_table(facts.sparkSession, name), partials)
+    (a, first), (b, second), (c, third) = _batches(facts)
+    wrong = second.where(F.col("billing_period") < SPLIT_PERIOD).withColumns(
+        {m: (F.col(m) * 2).cast(second.schema[m].dataType) for m in costs}
+        | {"billing_period": F.concat(F.lit("19"), F.substring("billing_period", 3, 5))})
+    for batch, rows in ((a, first), (b, wrong), (c, third), (b, second)):
+        table.refresh(batch, rows)
+    return table
+
+
+def delta_service_daily(cost_daily: DataFrame) -> DataFrame:
+    """Daily service cost by delta refreshes; equals the model built from all facts."""
+    table = delta_round_trip(cost_daily, service_partials(), ["total_effective_cost", "total_billed_cost", "total_list_cost"], "delta-service")
+    return table.model().drop("line_count")
+
+
+def delta_invoices(silver: DataFrame) -> DataFrame:
+    """Invoices by delta refreshes: costs and distinct-count sketches are merged from the batches' partials."""
+    table = delta_round_trip(invoice_lines(silver), invoice_partials(), list(COSTS), "delta-invoices")
+    return invoice_from_partials(table.model())
+
+
+def delta_utilization(resource_monthly: DataFrame) -> DataFrame:
+    """Utilisation percentiles of instance types over all periods and accounts, merged from sketches by both."""
+    table = DeltaTable(resource_monthly.sparkSession, _new_table(resource_monthly.sparkSession, "delta-utilization"), utilization_partials())
+    for batch, rows in _batches(resource_monthly):
+        table.refresh(batch, rows)
+    return utilization_over_time(table.partials.merged(table.model(), TYPE_KEYS))
+
+
+def sketch_accuracy(silver: DataFrame, lg_k: int = LG_K, k: int = QUANTILE_K) -> DataFrame:
+    """Per billing period: exact counts, whether sketches are within their stated error of them, and whether merged halves are.
+
+    Distinct resources within three standard errors, and the rank of the median line cost within the rank error;
+    the halves are the odd and even accounts, whose union must estimate what the union of one sketch does.
+    """
+    measures = [lines(), distinct("resources", F.concat("account_id", "resource_id"), lg_k), quantiles("costs", "effective_cost", k)]
+    by_period, by_half = Partials(["billing_period"], measures), Partials(["billing_period", "half"], measures)
+    rows = silver.withColumn("half", F.pmod(F.crc32(F.col("account_id").cast("binary")), F.lit(2)))
+    whole = by_period.of(rows)
+    halves = by_period.merged(by_half.of(rows))
+    exact = rows.groupBy("billing_period").agg(F.countDistinct(F.concat("account_id", "resource_id")).alias("exact_resources"),
+                                               F.count("effective_cost").alias("n_costs"))
+
+    def read(df: DataFrame, name: str) -> DataFrame:
+        one = df.groupBy("billing_period").agg(measures[1].merge, measures[2].merge)  # a union of one: the same estimator
+        return one.select(F.col("billing_period").alias("p"), measures[1].final.alias(f"{name}_resources"),
+                          quantile("costs", 0.5).alias(f"{name}_median"))
+
+    key = F.col("billing_period").eqNullSafe(F.col("p"))
+    both = exact.join(read(whole, "whole"), key).drop("p").join(read(halves, "halves"), key).drop("p")
+    off = [F.abs(F.col(f"{n}_resources") - F.col("exact_resources")) <= 3 * distinct_error(lg_k) * F.col("exact_resources") for n in ("whole", "halves")]
+    medians = both.select(F.col("billing_period").alias("p"), "whole_median", "halves_median")
+    cost = F.col("effective_cost").cast("double")
+    ranks = rows.join(medians, key).groupBy("p").agg(*[
+        F.struct(F.count_if(cost < F.col(f"{n}_median")).alias("below"), F.count_if(cost <= F.col(f"{n}_median")).alias("upto")).alias(f"{n}_rank")
+        for n in ("whole", "halves")])
+    slack = F.lit(rank_error(k)) * F.col("n_costs") + 1
+    near = [(F.col(f"{n}_rank.below") <= 0.5 * F.col("n_costs") + slack) & (F.col(f"{n}_rank.upto") >= 0.5 * F.col("n_costs") - slack)
+            for n in ("whole", "halves")]
+    return both.join(ranks, key).select(
+        "billing_period", "exact_resources", "n_costs", off[0].alias("resources_within"), off[1].alias("merged_resources_within"),
+        (F.col("whole_resources") == F.col("halves_resources")).alias("merge_is_whole"), near[0].alias("median_within"),
+        near[1].alias("merged_median_within"))
+
+
 def incremental_round_trip(service_daily: DataFrame, as_of: _dt.date, name: str = "service_daily") -> DataFrame:
     """Full refresh of the model into a billing_period-partitioned table in the shared checkpoint
     folder, then an incremental refresh of the last six periods (dynamic partition overwrite), and the

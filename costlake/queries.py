@@ -97,6 +97,44 @@ CHECK_QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
 }
 
 
+QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
+    "check_not_null": lambda m: checks.check_not_null(_serve(m), "account_id"),
+    "check_unique": lambda m: checks.check_unique(m.account_metadata, "account_id", where="account_type = 'linked'"),
+    "check_unique_combination": lambda m: checks.check_unique_combination(
+        _serve(m), ["usage_date", "account_id", "service_code"]),
+    "check_accepted_values": lambda m: checks.check_accepted_values(m.account_metadata, "account_type",
+                                                                    ["linked", "payer"]),
+    "check_relationships": lambda m: checks.check_relationships(_serve(m), "account_id", m.account_metadata,
+                                                                "account_id"),
+    "check_row_count_between": lambda m: checks.check_row_count_between(_serve(m), min_value=1),
+    "check_value_length": lambda m: checks.check_value_length(m.account_metadata, "account_id", equal=12),
+    "check_values_between": lambda m: checks.check_values_between(_serve(m), "total_effective_cost", 0, 1000000000),
+    "check_column_type": lambda m: checks.check_column_type(_serve(m), "usage_date", "timestamp"),
+    "check_expression": lambda m: checks.check_expression(_serve(m), "total_list_cost >= total_effective_cost"),
+    "check_cost_hierarchy": lambda m: checks.check_cost_hierarchy(_serve(m)),
+    "check_negative_costs": lambda m: checks.check_negative_costs(_serve(m)),
+    "check_period_consistency": lambda m: checks.check_period_consistency(_serve(m)),
+    "check_account_metadata": lambda m: checks.check_account_metadata(_serve(m), m.account_metadata),
+    "check_unmapped_products": lambda m: checks.check_unmapped_products(m.cost_daily, m.seed("products")),
+    "check_unmapped_regions": lambda m: checks.check_unmapped_regions(m.region_monthly),
+    "check_unmapped_families": lambda m: checks.check_unmapped_families(
+        compute.compute_instance_hourly(m.silver, m.period), m.seed("modernization")),
+    # from the 15th on the month before must have its invoices
+    "check_invoice_complete": lambda m: checks.check_invoice_complete(m.invoice_monthly, datetime.date(2001, 9, 20)),
+    "severity_gate": lambda m: checks.severity_gate(m.spark, {
+        "cost_hierarchy": checks.check_cost_hierarchy(_serve(m)),
+        "negative_costs": checks.check_negative_costs(_serve(m)),
+        "period_consistency": checks.check_period_consistency(_serve(m)),
+        "account_metadata": checks.check_account_metadata(_serve(m), m.account_metadata),
+    }, {
+        "cost_hierarchy": checks.Severity("error", ">= 1", ">= 50"),
+        "negative_costs": checks.Severity("warn", ">= 1", ">= 10"),
+        "period_consistency": checks.Severity("error", ">= 1", ">= 1"),
+        "account_metadata": checks.Severity("warn", ">= 100", ">= 10"),
+    }),
+}
+
+
 def _invoice(m: CostModels) -> DataFrame:
     # exact distinct counts so the oracle can compare them (the model's default is HyperLogLog)
     return core.invoice_monthly(m.silver, m.period, exact_distinct=True)
@@ -110,7 +148,7 @@ QUERIES: dict[str, Callable[[CostModels], DataFrame]] = {
     "gold_service_monthly": lambda m: m.service_monthly,
     "gold_resource_tag_daily": lambda m: m.resource_tag_daily,
     "gold_resource_monthly": lambda m: m.resource_monthly,
-    "gold_invoice_monthly": _invoice,
+    "gold_invoice_monthly": lambda m: m.invoice_monthly,
     "gold_tag_cost_daily": lambda m: m.tag_cost_daily,
     "gold_tag_cost_monthly": lambda m: m.tag_cost_monthly,
     "gold_tag_key_coverage_monthly": lambda m: m.tag_key_coverage_monthly,
@@ -207,6 +245,10 @@ QUERIES.update({
     "date_spine": lambda m: io.date_spine_months(m.silver, m.as_of),
     "tag_key_discovery": lambda m: io.discovered_tag_keys(m.silver),
     "sink_incremental_overwrite": lambda m: io.incremental_round_trip(m.service_daily, m.as_of),
+    "delta_refresh_service_daily": lambda m: io.delta_service_daily(m.cost_daily),
+    "delta_refresh_invoices": lambda m: io.delta_invoices(m.silver),
+    "delta_refresh_utilization": lambda m: io.delta_utilization(_resource_monthly(m)),
+    "sketch_accuracy": lambda m: io.sketch_accuracy(m.silver),
     "sink_view": lambda m: io.view_round_trip(m.service_daily),
     "sink_table": lambda m: io.table_round_trip(m.service_daily),
     "sink_append": lambda m: io.append_round_trip(m.service_daily),
