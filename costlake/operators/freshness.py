@@ -56,6 +56,14 @@ def hourly_freshness_stats(bronze: DataFrame, as_of: _dt.datetime) -> DataFrame:
 SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
+def stamp_versions(df: DataFrame, unique_key: str, updated_at: str, as_of: _dt.datetime | None) -> DataFrame:
+    """Rows as open versions; one without ``updated_at`` counts as updated at ``as_of``."""
+    seen = F.coalesce(F.col(updated_at), F.lit(as_of).cast("timestamp"))
+    return df.select(
+        "*", F.sha2(F.concat_ws("|", F.col(unique_key).cast("string"), seen.cast("string")), 256).alias("dbt_scd_id"),
+        seen.alias("dbt_updated_at"), seen.alias("dbt_valid_from"), F.lit(None).cast("timestamp").alias("dbt_valid_to"))
+
+
 def snapshot_scd2(current: DataFrame | None, batch: DataFrame, unique_key: str, updated_at: str,
                   as_of: _dt.datetime | None = None) -> DataFrame:
     """Timestamp-strategy SCD2 merge.
@@ -65,15 +73,8 @@ def snapshot_scd2(current: DataFrame | None, batch: DataFrame, unique_key: str,
     A row whose ``updated_at`` is NULL (an hour without data) counts as updated at ``as_of`` when it is
     new; while it stays NULL it has no new version. The merge joins the open rows with the batch on the
     key (hash-partitioned on the key, no broadcast)."""
-    seen = F.coalesce(F.col(updated_at), F.lit(as_of).cast("timestamp"))
-
     def stamp(df: DataFrame) -> DataFrame:
-        return df.select(
-            "*",
-            F.sha2(F.concat_ws("|", F.col(unique_key).cast("string"), seen.cast("string")), 256)
-            .alias("dbt_scd_id"),
-            seen.alias("dbt_updated_at"), seen.alias("dbt_valid_from"),
-            F.lit(None).cast("timestamp").alias("dbt_valid_to"))
+        return stamp_versions(df, unique_key, updated_at, as_of)
 
     if current is None:
         return stamp(batch)

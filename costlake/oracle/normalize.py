@@ -37,6 +37,20 @@ def hourly(events_as_of: str) -> str:
                              GROUP BY 1)) d ON g.h = d.hr"""
 
 
+def _known(as_of: str) -> str:
+    """The hourly stats as of a day, of the lines before it."""
+    return hourly(as_of).replace("FROM ev\n", f"FROM (SELECT * FROM ev WHERE usage_date < TIMESTAMP '{as_of}')\n")
+
+
+#: Every version with its start; a version ends where the next one of its hour starts.
+SNAPSHOT_BUCKETS = """
+SELECT * EXCLUDE (start), sha256(strftime(usage_hour, '%Y-%m-%d %H:%M:%S') || strftime(start, '|%Y-%m-%d %H:%M:%S')) AS dbt_scd_id,
+  start AS dbt_updated_at, start AS dbt_valid_from, lead(start) OVER (PARTITION BY usage_hour ORDER BY start) AS dbt_valid_to
+FROM (SELECT *, TIMESTAMP '2024-01-10' AS start FROM s1
+      UNION ALL SELECT *, TIMESTAMP '2024-01-20' FROM s2 WHERE usage_hour >= TIMESTAMP '2024-01-09' AND count_rows > 0
+      UNION ALL SELECT *, TIMESTAMP '2024-01-31' FROM s3 WHERE usage_hour >= TIMESTAMP '2024-01-19' AND count_rows > 0)"""
+
+
 def oracle(events_as_of: str = "2024-01-31") -> dict[str, str]:
     strip = "CASE WHEN usage_type IS NULL OR usage_type = '' THEN usage_type " + " ".join(
         f"WHEN regexp_matches(usage_type, '{rx}') THEN regexp_replace(usage_type, '{rx}', '')" for rx in REGION_PREFIXES
@@ -78,6 +92,7 @@ def oracle(events_as_of: str = "2024-01-31") -> dict[str, str]:
               AND subservice_code <> 'AWSDataTransfer' AND resource_id NOT LIKE 'arn:%:capacity-reservation/%'
             GROUP BY ALL"""),
         "hourly_freshness_stats": query(hourly(events_as_of), ev),
+        "snapshot_scd2_buckets": query(SNAPSHOT_BUCKETS, ev, ("s1", _known("2024-01-10")), ("s2", _known("2024-01-20")), ("s3", _known("2024-01-31"))),
         # Two refreshes of the same hours: hours with data have a new version, the others stay open.
         "snapshot_scd2": query("""
             SELECT a.*, sha256(strftime(a.usage_hour, '%Y-%m-%d %H:%M:%S') || '|2024-01-15 00:00:00') AS dbt_scd_id,

@@ -25,7 +25,7 @@ from costlake.operators import freshness, normalize
 from costlake.sources.fixture import events_billing
 from costlake.operators import checks
 from costlake.operators.period_aggregation import cost_period_aggregation
-from costlake.plans import compute, core, database, network, other, storage
+from costlake.plans import compute, core, database, network, other, scd, storage
 from costlake.plans.registry import CostModels, to_double
 from costlake.plans.silver import COST_DAILY_KEYS  # noqa: F401  (documented column set)
 
@@ -221,6 +221,20 @@ def _snapshot(m: CostModels) -> DataFrame:
     return freshness.snapshot_scd2(snap, second, "usage_hour", "max_modified_date", EVENTS_AS_OF)
 
 
+def _snapshot_buckets(m: CostModels) -> DataFrame:
+    """Three refreshes of the hourly stats merged into a bucketed SCD2 snapshot, in slices of a week.
+
+    Each refresh has the lines known by then, and after the first only hours from a day before the last one on.
+    """
+    ev, since, batches = events_billing(m.spark, m.sf_dir), None, []
+    for at in (datetime.datetime(2024, 1, 10), datetime.datetime(2024, 1, 20), EVENTS_AS_OF):
+        stats = freshness.hourly_freshness_stats(ev.where(F.col("usage_date") < F.lit(at).cast("timestamp")), at)
+        batches.append((at, stats if since is None else stats.where(F.col("usage_hour") >= F.lit(since).cast("timestamp"))))
+        since = at - datetime.timedelta(days=1)
+    week = F.floor(F.datediff("usage_hour", F.lit(datetime.date(2024, 1, 1))) / 7)
+    return scd.snapshot_refreshes(batches, "usage_hour", "max_modified_date", week).current()
+
+
 QUERIES.update({
     "cost_period_aggregation_week": lambda m: cost_period_aggregation(
         m.service_daily, period="week", group_by=core.SERVICE_KEYS, include_date_bounds=False),
@@ -233,6 +247,7 @@ QUERIES.update({
     "filter_ec2_instances": lambda m: normalize.filter_ec2_instances(m.silver),
     "hourly_freshness_stats": _freshness,
     "snapshot_scd2": _snapshot,
+    "snapshot_scd2_buckets": _snapshot_buckets,
 })
 QUERIES.update({f"classify_{fam}": (lambda m, _f=fam: classify.usage_category_rollup(m.silver, _f)) for fam in FAMILIES})
 QUERIES["classify_all"] = lambda m: classify.classify_all(m.silver)
