@@ -2,7 +2,7 @@
 ``severity_gate`` turns failure counts into pass/warn/error results.
 
 Generic column checks are single filters or one hash aggregate (uniqueness); relationship checks are
-left-anti joins; the report-style checks keep their "worst 100" ordering (a top-k report).
+left-anti joins; a check returns all rows that fail.
 """
 
 from __future__ import annotations
@@ -195,17 +195,25 @@ def _holds(count_col: Column, cond: str) -> Column:
             "=": count_col == value, "<": count_col < value, "<=": count_col <= value}[op]
 
 
-def severity_gate(spark: SparkSession, failures: dict[str, DataFrame], severities: dict[str, Severity]) -> DataFrame:
-    """One row per check: failure count and pass/warn/error. Counts are distributed aggregates; only
-    one number per check is combined."""
+def severity_gate(spark: SparkSession, failures: dict[str, DataFrame], severities: dict[str, Severity],
+                  observed: dict[str, int] | None = None) -> DataFrame:
+    """One row per check: failure count and pass/warn/error.
+
+    ``failures``: failing rows, counted by an aggregate each; ``observed``: counts that are known already, as the
+    metrics of a write. Only one number per check is combined.
+    """
+    counts = [df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("failures")) for name, df in failures.items()]
+    if observed:
+        counts.append(spark.createDataFrame(list(observed.items()), "check string, failures long"))
     rows = None
-    for name, df in failures.items():
+    for df in counts:
+        rows = df if rows is None else rows.unionByName(df)
+    severity, status = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name in [*failures, *(observed or {})]:
         sev = severities.get(name, Severity())
-        n = df.agg(F.count(F.lit(1)).alias("failures"))
-        status = (F.when(F.lit(sev.severity) == "error", F.when(_holds(F.col("failures"), sev.error_if), "error")
-                         .when(_holds(F.col("failures"), sev.warn_if), "warn").otherwise("pass"))
-                  .otherwise(F.when(_holds(F.col("failures"), sev.warn_if), "warn").otherwise("pass")))
-        r = n.select(F.lit(name).alias("check"), "failures", F.lit(sev.severity).alias("severity"),
-                     status.alias("status"))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+        met = F.when(_holds(F.col("failures"), sev.warn_if), "warn").otherwise("pass")
+        if sev.severity == "error":
+            met = F.when(_holds(F.col("failures"), sev.error_if), "error").otherwise(met)
+        severity = F.when(F.col("check") == name, sev.severity).otherwise(severity)
+        status = F.when(F.col("check") == name, met).otherwise(status)
+    return rows.select("check", "failures", severity.alias("severity"), status.alias("status"))

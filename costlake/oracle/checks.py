@@ -14,29 +14,43 @@ SELECT s.usage_date, s.billing_period, s.account_id, coalesce(m.account_name, 'u
   CAST(s.total_list_cost AS DOUBLE) AS total_list_cost
 FROM service_daily s LEFT JOIN metadata m ON s.account_id = m.account_id AND m.account_type = 'linked'
 """
+USAGE = "usage_date, account_id, service_code, charge_type, resource_id, effective_cost"
+
+#: What fails each check of the audited serve model.
+AUDITED = {
+    "cost_hierarchy": "FROM serve WHERE total_list_cost < total_billed_cost OR total_billed_cost < total_effective_cost",
+    "negative_costs": "FROM serve WHERE least(total_effective_cost, total_billed_cost, total_list_cost) < 0",
+    "period_consistency": "FROM serve WHERE billing_period <> strftime(usage_date, '%Y-%m')",
+    "service_code_not_null": "FROM serve WHERE service_code IS NULL",
+    "cost_below_10000": "FROM serve WHERE total_effective_cost NOT BETWEEN 0 AND 10000",
+    "list_covers_effective": "FROM serve WHERE total_list_cost < total_effective_cost OR total_list_cost IS NULL OR total_effective_cost IS NULL",
+    "category_known": "FROM serve WHERE service_category = 'none'",
+    "account_metadata": "SELECT unnest([account_id, payer_account_id]) AS a FROM serve EXCEPT SELECT account_id FROM metadata",
+    "one_name_per_account": "SELECT account_id FROM metadata WHERE account_type = 'linked' GROUP BY account_id HAVING count(*) > 1",
+    "one_row_per_service_day": "SELECT 1 FROM serve GROUP BY usage_date, account_id, service_code HAVING count(*) > 1",
+    "payers_are_no_linked_accounts": """SELECT account_id FROM metadata WHERE account_type = 'payer'
+        AND account_id NOT IN (SELECT account_id FROM metadata WHERE account_type = 'linked')""",
+}
 
 
 def oracle() -> dict[str, str]:
     serve = [("cost_daily", COST_DAILY), ("service_daily", SERVICE_DAILY), ("metadata", METADATA), ("serve", SERVE)]
     meta = [("metadata", METADATA)]
     return {
-        "check_not_null": query("SELECT * FROM serve WHERE account_id IS NULL", *serve),
-        "check_unique": query("""SELECT account_id, count(*) AS n_records FROM metadata
-            WHERE account_type = 'linked' AND account_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""", *meta),
-        "check_unique_combination": query("""SELECT usage_date, account_id, service_code, count(*) AS n_records
+        "check_not_null": query(f"SELECT {USAGE} FROM silver WHERE resource_id IS NULL"),
+        "check_unique": query("""SELECT resource_id, count(*) AS n_records FROM silver
+            WHERE charge_type = 'Usage' AND resource_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""),
+        "check_unique_combination": query("""SELECT usage_date, account_id, count(*) AS n_records
             FROM serve GROUP BY ALL HAVING count(*) > 1""", *serve),
-        "check_accepted_values": query("""SELECT * FROM metadata WHERE account_type IS NOT NULL
-            AND account_type NOT IN ('linked', 'payer')""", *meta),
-        "check_relationships": query("""SELECT * FROM serve s WHERE s.account_id IS NOT NULL
-            AND NOT EXISTS (SELECT 1 FROM metadata m WHERE m.account_id = s.account_id)""", *serve),
+        "check_accepted_values": query(f"SELECT {USAGE} FROM silver WHERE charge_type NOT IN ('Usage', 'Tax', 'Fee')"),
+        "check_relationships": query("""SELECT * FROM serve s WHERE s.service_code IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM products p WHERE p.product_code = s.service_code)""", *serve),
         "check_row_count_between": query("""SELECT * FROM (SELECT count(*) AS row_count FROM serve)
-            WHERE row_count < 1""", *serve),
-        "check_value_length": query("""SELECT * FROM metadata WHERE account_id IS NOT NULL
-            AND length(account_id) <> 12""", *meta),
+            WHERE row_count NOT BETWEEN 1 AND 1000""", *serve),
+        "check_value_length": query("SELECT * FROM serve WHERE length(service_code) NOT BETWEEN 7 AND 16", *serve),
         "check_values_between": query("""SELECT * FROM serve WHERE total_effective_cost IS NOT NULL
             AND (total_effective_cost < 0 OR total_effective_cost > 1000000000)""", *serve),
-        "check_column_type": query("""SELECT * FROM serve WHERE usage_date IS NOT NULL
-            AND TRY_CAST(usage_date AS TIMESTAMP) IS NULL""", *serve),
+        "check_column_type": query(f"SELECT {USAGE} FROM silver WHERE NOT regexp_full_match(resource_id, '[+-]?[0-9]+')"),
         "check_expression": query("""SELECT * FROM serve
             WHERE NOT coalesce(total_list_cost >= total_effective_cost, false)""", *serve),
         "check_cost_hierarchy": query("""
@@ -54,14 +68,12 @@ def oracle() -> dict[str, str]:
                               CASE WHEN total_list_cost < 0 THEN 'Negative list cost' END) AS issue_type
             FROM serve WHERE total_effective_cost < 0 OR total_billed_cost < 0 OR total_list_cost < 0""", *serve),
         "check_period_consistency": query("""
-            SELECT usage_date, billing_period, strftime(usage_date, '%Y-%m') AS calculated_billing_period, account_id,
-              service_code, 'Billing period mismatch' AS issue_type
-            FROM serve WHERE usage_date IS NOT NULL AND billing_period IS NOT NULL
-              AND billing_period <> strftime(usage_date, '%Y-%m')""", *serve),
+            SELECT date_trunc('week', usage_date) AS usage_date, billing_period, strftime(date_trunc('week', usage_date), '%Y-%m')
+                AS calculated_billing_period, account_id, service_code, 'Billing period mismatch' AS issue_type
+            FROM serve WHERE billing_period <> strftime(date_trunc('week', usage_date), '%Y-%m')""", *serve),
         "check_account_metadata": query("""
-            SELECT account_id FROM (SELECT account_id FROM serve WHERE account_id IS NOT NULL
-                                    UNION SELECT payer_account_id FROM serve WHERE payer_account_id IS NOT NULL) a
-            WHERE NOT EXISTS (SELECT 1 FROM metadata m WHERE m.account_id = a.account_id)""", *serve),
+            SELECT DISTINCT unnest([account_id, payer_account_id]) AS account_id FROM serve
+            EXCEPT SELECT account_id FROM metadata WHERE account_type = 'payer' EXCEPT SELECT NULL""", *serve),
         "check_invoice_complete": query(f"""
             SELECT * FROM (SELECT count(*) AS total_invoices, count(*) FILTER (invoice_id IS NULL OR invoice_id = '') AS missing_invoice_ids,
                 count(*) FILTER (NOT is_invoice_complete) AS incomplete_invoices, 20 AS current_day
@@ -81,6 +93,10 @@ def oracle() -> dict[str, str]:
                       SELECT account_id FROM serve WHERE account_id IS NOT NULL
                       UNION SELECT payer_account_id FROM serve WHERE payer_account_id IS NOT NULL) a
                     WHERE NOT EXISTS (SELECT 1 FROM metadata m WHERE m.account_id = a.account_id)))""", *serve),
+        "audited_serve": query("SELECT * FROM serve", *serve),
+        "audited_serve_checks": query(" UNION ALL ".join(f"""
+            SELECT '{name}' AS "check", n AS failures, 'error' AS severity, CASE WHEN n >= 100 THEN 'error' WHEN n >= 1 THEN 'warn' ELSE 'pass' END
+              AS status FROM (SELECT count(*) AS n FROM ({rows}))""" for name, rows in AUDITED.items()), *serve),
         "check_unmapped_products": query(f"""
             SELECT service_code, {rdec('sum(total_effective_cost)', 2)} AS total_cost, count(*) AS record_count,
               min(usage_date) AS first_seen_date, max(usage_date) AS last_seen_date
@@ -89,12 +105,13 @@ def oracle() -> dict[str, str]:
               AND NOT EXISTS (SELECT 1 FROM {seed_values_sql('products')} WHERE t.product_code = c.service_code)
             GROUP BY 1""", ("cost_daily", COST_DAILY)),
         "check_unmapped_regions": query(f"""
-            SELECT region_id, {rdec('sum(c)', 2)} AS total_cost, count(*) AS record_count,
-              min(m) AS first_seen_month, max(m) AS last_seen_month
+            SELECT region_id, {rdec('sum(c)', 2)} AS total_cost, count(*) AS record_count, min(m) AS first_seen_month, max(m) AS last_seen_month
             FROM (SELECT date_trunc('month', usage_date) AS m, account_id, payer_account_id, region_id, region_name,
                     service_category, service_name, service_code, billing_period, sum(total_effective_cost) AS c
                   FROM cost_daily GROUP BY ALL)
-            WHERE region_id IS NOT NULL AND region_name IS NULL GROUP BY 1""", ("cost_daily", COST_DAILY)),
+            WHERE region_id NOT IN (SELECT region_id FROM regions EXCEPT SELECT unnest(['us-east-1', 'eu-west-1'])
+                                    UNION SELECT region_name FROM regions WHERE region_id NOT IN ('us-east-1', 'eu-west-1')) GROUP BY 1""",
+            ("cost_daily", COST_DAILY)),
         "check_unmapped_families": query(f"""
             SELECT instance_type_family, product, {rdec('sum(effective_cost)', 2)} AS total_cost, count(*) AS record_count,
               min(usage_date) AS first_seen_date, max(usage_date) AS last_seen_date

@@ -121,11 +121,12 @@ def oracle() -> dict[str, str]:
         "gold_ebs_snapshot_current": query(f"""
             SELECT payer_account_id, account_id, volume_name, min(first_seen) AS first_seen,
               max(last_seen) AS last_seen, CAST(date_diff('day', min(first_seen), max(last_seen)) AS BIGINT) AS age_in_days,
-              {rdec("sum(CASE WHEN usage_date = TIMESTAMP '2001-10-01' THEN total_effective_cost ELSE 0 END)", 2)}
+              {rdec("sum(CASE WHEN usage_date = TIMESTAMP '2001-06-01' THEN total_effective_cost ELSE 0 END)", 2)}
                 AS total_effective_cost_previous_month,
-              round(sum(total_effective_cost), 5) AS total_effective_cost, '2001-11' AS billing_period
-            FROM ebs_summary WHERE volume_type = 'snapshot' AND billing_period >= '2000-11'
-            GROUP BY ALL HAVING max(last_seen) >= {AS_OF} - INTERVAL 5 DAY""", ed, es),
+              round(sum(total_effective_cost), 5) AS total_effective_cost, '2001-07' AS billing_period
+            FROM ebs_summary WHERE volume_type = 'snapshot' AND billing_period >= '2000-07'
+            GROUP BY ALL HAVING max(last_seen) >= DATE '2001-07-18'""",
+            ("ebs_daily", EBS_DAILY.replace("FROM silver WHERE", "FROM silver WHERE usage_date < TIMESTAMP '2001-07-23' AND")), es),
         "gold_s3_daily": query("SELECT * FROM s3_daily", sd),
         "gold_s3_summary_monthly": query(_s3_summary(), sd),
     }

@@ -13,13 +13,11 @@ def account_metadata(silver: DataFrame, last_updated: str) -> DataFrame:
     linked = src.select("account_id", "account_name", F.lit("linked").alias("account_type"))
     payer = src.select(F.col("payer_account_id").alias("account_id"),
                        F.col("payer_account_name").alias("account_name"), F.lit("payer").alias("account_type"))
-    return (linked.unionByName(payer).distinct()
-            .withColumn("last_updated", F.lit(last_updated))
-            .orderBy("account_type", "account_id"))
+    return linked.unionByName(payer).distinct().withColumn("last_updated", F.lit(last_updated))
 
 
 def cost_service_account_daily(service_daily: DataFrame, metadata: DataFrame) -> DataFrame:
-    """service_daily + linked account name ('unknown' when absent), newest and costliest first.
+    """service_daily + linked account name ('unknown' when absent); whoever shows it orders it.
     The metadata side is the set of accounts; Spark's size check decides whether it is broadcast."""
     accounts = metadata.where(F.col("account_type") == "linked").select(
         F.col("account_id").alias("_acct"), F.col("account_name").alias("_name"))
@@ -29,4 +27,4 @@ def cost_service_account_daily(service_daily: DataFrame, metadata: DataFrame) ->
         F.coalesce(F.col("_name"), F.lit("unknown")).alias("account_name"),
         "payer_account_id", "billing_entity", "service_code", "service_name", "service_category",
         "total_effective_cost", "total_billed_cost", "total_list_cost",
-    ).orderBy(F.col("usage_date").desc(), F.col("total_effective_cost").desc())
+    )
