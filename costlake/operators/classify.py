@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from costlake.functions.classify import compile_condition, compile_rules, input_columns
 from costlake.functions.classify.catalog import FAMILIES, RULE_SETS, unified_rules
+from costlake.functions.classify.index import with_labels
 
 MEASURES = [("effective_cost", "total_effective_cost"), ("usage_amount", "total_usage_amount")]
 
@@ -60,11 +61,40 @@ def usage_category_rollup(df: DataFrame, family: str) -> DataFrame:
     return _signature_rollup(rows, ["rule_set", *inputs], label)
 
 
-def classify_all(df: DataFrame) -> DataFrame:
-    """The unified usage-category map over every line: cost per (service, usage category)."""
+def _dispatched(df: DataFrame) -> DataFrame:
+    """Lines added up by the inputs of the unified rules."""
     rules, default = unified_rules()
     inputs = input_columns(rules, default)
     if "service_code" not in inputs:
         inputs.insert(0, "service_code")
-    rows = df.select(*inputs, *[m for m, _ in MEASURES])
-    return _signature_rollup(rows, inputs, compile_rules(rules, default))
+    return df.groupBy(*inputs).agg(*[F.sum(m).alias(n) for m, n in MEASURES], F.count(F.lit(1)).alias("line_count"))
+
+
+def _by_category(labelled: DataFrame) -> DataFrame:
+    return labelled.groupBy("service_code", "usage_category").agg(
+        *[F.sum(n).alias(n) for _, n in MEASURES], F.sum("line_count").alias("line_count"))
+
+
+def classify_all(df: DataFrame) -> DataFrame:
+    """The unified usage-category map over every line: cost per (service, usage category)."""
+    return _by_category(_dispatched(df).withColumn("usage_category", compile_rules(*unified_rules())))
+
+
+def classify_all_indexed(df: DataFrame) -> DataFrame:
+    """``classify_all`` by the rule index: a signature is tested against the few rules that its literals point to,
+    where the CASE chain tests up to all of them. Of use where distinct signatures are many (usage types that carry
+    instance types, resources' own names) or rule sets grow by a user's own."""
+    return _by_category(with_labels(_dispatched(df), unified_rules, "usage_category"))
+
+
+def on_rule_samples(df: DataFrame, samples: list[dict]) -> DataFrame:
+    """The lines with the rule inputs of samples, dealt out evenly by a hash of the line: every rule has lines.
+
+    ``samples``: inputs by name, the same names in each; the table is as long as the rule tables.
+    """
+    names = list(samples[0])
+    rows = df.sparkSession.createDataFrame([(k, *[s[c] for c in names]) for k, s in enumerate(samples)],
+                                           ", ".join(["_sample long", *[f"`{c}` string" for c in names]]))
+    of_line = F.md5(F.concat_ws(":", F.date_format("usage_date", "yyyyMMdd"), "account_id", "service_code", "usage_type", "resource_id").cast("binary"))
+    line = df.select(F.pmod(F.conv(F.substring(of_line, 1, 8), 16, 10).cast("long"), F.lit(len(samples))).alias("_sample"), *[m for m, _ in MEASURES])
+    return line.join(F.broadcast(rows), "_sample").drop("_sample")

@@ -21,6 +21,7 @@ from costlake.oracle import normalize as oracle_normalize
 from costlake.operators import classify
 from costlake.plans import io
 from costlake.functions.classify.catalog import FAMILIES
+from costlake.functions.classify.samples import rule_samples
 from costlake.operators import freshness, normalize
 from costlake.sources.fixture import events_billing
 from costlake.operators import checks
@@ -310,6 +311,9 @@ QUERIES.update({
 })
 QUERIES.update({f"classify_{fam}": (lambda m, _f=fam: classify.usage_category_rollup(m.silver, _f)) for fam in FAMILIES})
 QUERIES["classify_all"] = lambda m: classify.classify_all(m.silver)
+QUERIES["classify_all_indexed"] = lambda m: classify.classify_all_indexed(m.silver)
+# every rule of the dispatcher that can be first has lines
+QUERIES["classify_rule_samples"] = lambda m: classify.classify_all_indexed(classify.on_rule_samples(m.silver, rule_samples()[0]))
 QUERIES.update({
     "scan_cur": lambda m: io.bronze_projection(m.bronze),
     "scan_cur_map_layout": lambda m: io.bronze_projection(io.conform_map_layout(m.raw)),
