@@ -26,13 +26,27 @@ def flatten_tags(df: DataFrame, keys: list[str], tags_col: str = "resource_tags"
     return df.select("*", *[F.element_at(F.col(tags_col), F.lit(k)).alias(f"{prefix}{k}") for k in keys])
 
 
-def tag_values(keys: list[str], tags_col: str = "resource_tags") -> Column:
-    """The values of ``keys`` as an array in that order (NULL = untagged); unlike the map it can be grouped by."""
-    return F.array(*[F.element_at(F.col(tags_col), F.lit(k)) for k in keys])
+def tag_set(tags_col: str = "resource_tags") -> Column:
+    """The tag map as sorted entries without blank keys: unlike a map it can be grouped by, equal tags are one group."""
+    named = F.map_filter(F.col(tags_col), lambda k, v: k != "")
+    empty = F.array().cast("array<struct<key:string,value:string>>")
+    return F.coalesce(F.array_sort(F.map_entries(named)), empty)
 
 
-def explode_tag_keys(df: DataFrame, keys: list[str], values_col: str) -> DataFrame:
-    """One row per (row, key) with the key's value from ``tag_values``; a Generate, not a join."""
-    pairs = F.zip_with(F.array(*[F.lit(k) for k in keys]), values_col,
-                       lambda k, v: F.struct(k.alias("tag_key"), v.alias("tag_value")))
-    return df.select("*", F.inline(pairs)).drop(values_col)
+def keys_of(df: DataFrame, set_col: str) -> Column:
+    """All keys of a column of tag sets, sorted, as a scalar subquery: it runs with the query, not when the plan is built.
+
+    One array as long as there are tag keys, which name the result's rows or columns.
+    """
+    found = df.select(F.explode(set_col).alias("_tag")).select(F.col("_tag.key").alias("_key")).distinct()
+    return found.agg(F.array_sort(F.collect_set("_key"))).scalar()
+
+
+def explode_tag_keys(df: DataFrame, set_col: str, keys: list[str] | None = None) -> DataFrame:
+    """One row per (row, key) with the key's value in the row's tag set (NULL = untagged); a generator, not a join.
+
+    ``keys``: given ones, else all keys that any row has.
+    """
+    every = keys_of(df, set_col) if keys is None else F.array(*[F.lit(k) for k in keys])
+    rows = df.select("*", F.explode(every).alias("tag_key"))
+    return rows.withColumn("tag_value", F.element_at(F.map_from_entries(set_col), F.col("tag_key"))).drop(set_col)

@@ -117,8 +117,8 @@ def resource_tag_daily(silver: DataFrame, period: PeriodRange | None = None,
                        tag_keys: list[str] | None = None) -> DataFrame:
     """Running usage with a resource id, one column per discovered tag key (``resource_tags_<key>``).
 
-    Two jobs: (1) distinct tag keys (a tiny distributed aggregate; all of them, or those given),
-    (2) the rollup with one ``element_at`` column per key.
+    The keys name columns, so they are given (``CostModels`` takes them from a flat export's own column names) or,
+    for an export with a tag map, found by a job of their own before the rollup.
     """
     src = period_filter(silver, period).where(
         F.col("resource_id").isNotNull() & (F.col("resource_id") != "") & F.col("is_running_usage"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from costlake.plans import core, serve, silver as silver_plans, tag
 from costlake.session import configure
-from costlake.sources.cur import conform_schema
+from costlake.sources.cur import conform_schema, flat_tag_keys
 from costlake.sources.fixture import cur_source
 from costlake.sources.period import PeriodRange
 from costlake.sources.seeds import load_seed
@@ -107,7 +107,7 @@ class CostModels:
 
     @cached_property
     def resource_tag_daily(self) -> DataFrame:
-        return core.resource_tag_daily(self.silver, self.period)
+        return core.resource_tag_daily(self.silver, self.period, self.tag_keys or flat_tag_keys(self.raw.schema))
 
     @cached_property
     def resource_monthly(self) -> DataFrame:

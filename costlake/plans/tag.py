@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlake.operators.tags import discover_tag_keys, explode_tag_keys, tag_values
+from costlake.operators.tags import explode_tag_keys, tag_set
 from costlake.sources.period import PeriodRange, period_filter
 
 
@@ -17,20 +17,18 @@ def tag_cost_daily(silver: DataFrame, period: PeriodRange | None = None,
                    tag_keys: list[str] | None = None) -> DataFrame:
     """Per day, account, service, tag key and value (NULL = untagged): distinct resources and cost.
 
-    Lines are first added up per day, resource and tag values (a hot account/service is split by
+    Lines are first added up per day, resource and tag set (a hot account/service is split by
     resource id, with map-side partial sums); only these sums are paired with every tag key (given, or
-    discovered from the data) through a generator, then added up per resource and per tag value.
+    found in the sums by a subquery of the same query) through a generator, then added up per resource
+    and per tag value. Without any tag key there are no rows.
     """
     src = period_filter(silver, period).where(
         F.col("resource_id").isNotNull() & (F.col("resource_id") != "") & F.col("is_running_usage"))
-    keys = tag_keys if tag_keys else discover_tag_keys(src)
-    if not keys:
-        return _empty_tag_cost_daily(silver)
     narrow = src.select(F.col("usage_date").cast("date").alias("usage_date"), "account_id", "service_code",
-                        "resource_id", "effective_cost", "billing_period", tag_values(keys).alias("_values"))
-    daily = narrow.groupBy("usage_date", "account_id", "service_code", "resource_id", "billing_period", "_values").agg(
+                        "resource_id", "effective_cost", "billing_period", tag_set().alias("_tags"))
+    daily = narrow.groupBy("usage_date", "account_id", "service_code", "resource_id", "billing_period", "_tags").agg(
         F.sum("effective_cost").alias("effective_cost"))
-    pairs = explode_tag_keys(daily, keys, "_values")
+    pairs = explode_tag_keys(daily, "_tags", tag_keys or None)
     dims = ["usage_date", "account_id", "service_code", "tag_key", "tag_value", "billing_period"]
     per_resource = pairs.groupBy(*dims, "resource_id").agg(F.sum("effective_cost").alias("_cost"))
     return (
@@ -41,13 +39,6 @@ def tag_cost_daily(silver: DataFrame, period: PeriodRange | None = None,
     )
 
 
-def _empty_tag_cost_daily(silver: DataFrame) -> DataFrame:
-    spark = silver.sparkSession
-    return spark.createDataFrame([], "usage_date date, account_id string, service_code string, tag_key string, "
-                                     "tag_value string, count_resource bigint, total_effective_cost decimal(38,4), "
-                                     "billing_period string")
-
-
 def tag_cost_monthly(tag_daily: DataFrame, period: PeriodRange | None = None) -> DataFrame:
     src = period_filter(tag_daily, period)
     return (

@@ -164,6 +164,13 @@ def unify_tags(schema: T.StructType) -> Column:
     return F.create_map().cast("map<string,string>")
 
 
+def flat_tag_keys(schema: T.StructType) -> list[str] | None:
+    """The tag keys that a flat export's columns name, sorted; None if its tags are a map, whose keys only rows have."""
+    if "resource_tags" in schema.fieldNames():
+        return None
+    return sorted(n[len(TAG_PREFIX):] for n in schema.fieldNames() if n.startswith(TAG_PREFIX) and len(n) > len(TAG_PREFIX))
+
+
 def derive_billing_period(schema: T.StructType) -> Column:
     """``billing_period`` if present, else ``year-lpad(month,2,'0')``, else NULL."""
     names = [f.name for f in schema.fields]
