@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from costlake.oracle.base import TAG_KEYS, query
 from costlake.oracle.checks import SERVE
 from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, invoice_sql
@@ -55,10 +57,29 @@ SELECT
   billing_period
 FROM cur_source"""
 
+IDENTITY = ("payer_account_id, identity_line_item_id, usage_date, account_id, charge_type, product_code, usage_type, operation, resource_id, "
+            "item_description, pricing_term, pricing_unit, product_sku")
+
+
+def _deduped() -> str:
+    """Copies of lines, and of each identity the one that sorts last by the other columns in the export's order, nulls first."""
+    columns = [c.split(" AS ")[-1].strip() for c in re.sub(r"\([^()]*\)", "", SCAN_CUR.partition("SELECT")[2].rpartition("FROM")[0]).split(",")]
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in columns if c not in IDENTITY.split(", "))
+    tags = ", ".join(f"nullif(resource_tags_{t}, '') DESC NULLS LAST" for t in TAG_KEYS)
+    return f"""
+SELECT {IDENTITY}, unblended_cost, usage_amount, invoice_id, instance_type, public_on_demand_cost, billing_period, n AS duplicate_count
+FROM (SELECT *, row_number() OVER (PARTITION BY {IDENTITY} ORDER BY {order}, {tags}) AS nth, count(*) OVER (PARTITION BY {IDENTITY}) AS n
+      FROM (SELECT * REPLACE (unblended_cost + CASE WHEN copy = 3 THEN 1 ELSE 0 END AS unblended_cost)
+            FROM ({SCAN_CUR.replace("billing_period\nFROM", "billing_period, " + ", ".join(f"resource_tags_{t}" for t in TAG_KEYS) + " FROM")}), range(1, 4) AS r(copy)
+            WHERE copy <= CASE WHEN account_id < '000000000009' THEN 3 WHEN account_id < '000000000017' THEN 2 ELSE 1 END))
+WHERE nth = 1"""
+
 
 def oracle() -> dict[str, str]:
     pairs = " UNION ALL ".join(f"SELECT '{k}' AS tag_key, tag_{k} AS tag_value FROM bronze" for k in TAG_KEYS)
     return {
+        "dedupe_corrected_lines": query(_deduped()),
+        "dedupe_stream": query(_deduped()),
         "scan_cur": query(SCAN_CUR),
         "scan_cur_map_layout": query(SCAN_CUR),
         "unify_tags": query(f"SELECT tag_key, tag_value, count(*) AS line_count FROM ({pairs}) GROUP BY ALL"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from costlake.operators.calendar import days_per_period
 from costlake.operators.partials import LG_K, QUANTILE_K, Partials, distinct, distinct_error, lines, quantile, quantiles, rank_error
+from costlake.operators.normalize import dedupe_line_items
 from costlake.operators.tags import tag_keys
 from costlake.plans.compute import TYPE_KEYS, utilization_over_time, utilization_partials
 from costlake.plans.core import COSTS, invoice_from_partials, invoice_lines, invoice_partials, service_partials
@@ -19,6 +20,7 @@ from costlake.plans.refresh import DeltaTable
 from costlake.session import ensure_checkpoint_dir
 from costlake.sources.cur import CUR_COLUMNS, conform_schema
 from costlake.sources.period import billing_period_range, period_filter
+from costlake.streaming.dedupe import current, start_dedupe
 from costlake.sources.sinks import audit_store_failures, read_evolved, sink_append, sink_table, sink_view, write_incremental
 
 #: Where the sink jobs cut a model into two batches.
@@ -191,6 +193,35 @@ def sketch_accuracy(silver: DataFrame, lg_k: int = LG_K, k: int = QUANTILE_K) ->
         near[1].alias("merged_median_within"))
 
 
+#: What the deduplicated lines are compared by: their identity, and what the line that stays brings.
+DEDUPED = ["payer_account_id", "identity_line_item_id", "usage_date", "account_id", "charge_type", "product_code", "usage_type", "operation",
+           "resource_id", "item_description", "pricing_term", "pricing_unit", "product_sku", "unblended_cost", "usage_amount", "invoice_id",
+           "instance_type", "public_on_demand_cost", "billing_period", "duplicate_count"]
+
+
+def deduped(bronze: DataFrame) -> DataFrame:
+    return dedupe_line_items(with_copies(bronze)).select(*DEDUPED)
+
+
+def with_copies(bronze: DataFrame) -> DataFrame:
+    """The lines as several deliveries would bring them: some twice, some of these with a corrected cost."""
+    times = F.when(F.col("account_id") < "000000000009", 3).when(F.col("account_id") < "000000000017", 2).otherwise(1)
+    copies = bronze.withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
+    corrected = F.when(F.col("_copy") == 3, F.col("unblended_cost") + 1).otherwise(F.col("unblended_cost"))
+    return copies.withColumn("unblended_cost", corrected.cast(bronze.schema["unblended_cost"].dataType)).drop("_copy")
+
+
+def deduped_by_stream(bronze: DataFrame, files: int = 6) -> DataFrame:
+    """The same lines landed in shuffled deliveries and streamed, a delivery for each micro-batch."""
+    spark = bronze.sparkSession
+    folder = _new_table(spark, "dedupe")
+    lines = with_copies(bronze)
+    lines.repartition(files, F.xxhash64(*[c for c in lines.columns if c != "resource_tags"], F.rand(3))).write.parquet(f"{folder}/landing")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/landing")
+    start_dedupe(stream, f"{folder}/changes", f"{folder}/checkpoint").awaitTermination()
+    return current(spark, f"{folder}/changes", bronze).select(*DEDUPED)
+
+
 def incremental_round_trip(service_daily: DataFrame, as_of: _dt.date, name: str = "service_daily") -> DataFrame:
     """Full refresh of the model into a billing_period-partitioned table in the shared checkpoint
     folder, then an incremental refresh of the last six periods (dynamic partition overwrite), and the

@@ -302,6 +302,8 @@ QUERIES.update({
     "instance_series_rollup": lambda m: normalize.instance_series_rollup(m.silver),
     "resource_name_rollup": lambda m: normalize.resource_name_rollup(m.bronze),
     "dedupe_line_items": lambda m: normalize.dedupe_line_items(m.bronze),
+    "dedupe_corrected_lines": lambda m: io.deduped(m.bronze),
+    "dedupe_stream": lambda m: io.deduped_by_stream(m.bronze),
     "filter_data_transfer_v1": lambda m: normalize.filter_data_transfer_v1(m.silver),
     "filter_data_transfer_v2": lambda m: normalize.filter_data_transfer_v2(m.silver),
     "filter_ec2_instances": lambda m: normalize.filter_ec2_instances(m.silver),
