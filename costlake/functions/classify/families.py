@@ -159,13 +159,21 @@ OUTPOSTS = like_rules(UT, [("%Outpost%", "Outposts Rack [Compute]"), ("%Instance
 
 # ---- management ------------------------------------------------------------------------------------
 AWS_SUPPORT = like_rules(UT, [("%Dollar%", "AWS Support Enterprise Charges [Management]")])
-SP_TERMS = ["1yrNoUpfront", "1yrPartialUpfront", "1yrAllUpfront", "3yrNoUpfront", "3yrPartialUpfront", "3yrAllUpfront"]
-SP_LABELS = {"1yrNoUpfront": "1yr No Upfront", "1yrPartialUpfront": "1yr Partial Upfront",
-             "1yrAllUpfront": "1yr All Upfront", "3yrNoUpfront": "3yr No Upfront",
-             "3yrPartialUpfront": "3yr Partial Upfront", "3yrAllUpfront": "3yr All Upfront"}
-COMPUTE_SAVINGS_PLANS = (
-    [(L(f"%ComputeSP:{t}%"), f"Compute Savings Plans {SP_LABELS[t]} [Compute]") for t in SP_TERMS]
-    + [(L(f"%SageMakerSP:{t}%"), f"SageMaker Savings Plans {SP_LABELS[t]} [ML Compute]") for t in SP_TERMS])
+# Fixed values
+COMPUTE_SAVINGS_PLANS = like_rules(UT, [
+    ("%ComputeSP:1yrNoUpfront%", "Compute Savings Plans 1yr No Upfront [Compute]"),
+    ("%ComputeSP:1yrPartialUpfront%", "Compute Savings Plans 1yr Partial Upfront [Compute]"),
+    ("%ComputeSP:1yrAllUpfront%", "Compute Savings Plans 1yr All Upfront [Compute]"),
+    ("%ComputeSP:3yrNoUpfront%", "Compute Savings Plans 3yr No Upfront [Compute]"),
+    ("%ComputeSP:3yrPartialUpfront%", "Compute Savings Plans 3yr Partial Upfront [Compute]"),
+    ("%ComputeSP:3yrAllUpfront%", "Compute Savings Plans 3yr All Upfront [Compute]"),
+    ("%SageMakerSP:1yrNoUpfront%", "SageMaker Savings Plans 1yr No Upfront [ML Compute]"),
+    ("%SageMakerSP:1yrPartialUpfront%", "SageMaker Savings Plans 1yr Partial Upfront [ML Compute]"),
+    ("%SageMakerSP:1yrAllUpfront%", "SageMaker Savings Plans 1yr All Upfront [ML Compute]"),
+    ("%SageMakerSP:3yrNoUpfront%", "SageMaker Savings Plans 3yr No Upfront [ML Compute]"),
+    ("%SageMakerSP:3yrPartialUpfront%", "SageMaker Savings Plans 3yr Partial Upfront [ML Compute]"),
+    ("%SageMakerSP:3yrAllUpfront%", "SageMaker Savings Plans 3yr All Upfront [ML Compute]"),
+])
 COST_EXPLORER = like_rules(UT, [("%API-Request%", "Cost Explorer API Requests [Management]"),
                                 ("%UsageReport%", "Cost Explorer Usage Reports [Management]")])
 

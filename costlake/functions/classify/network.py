@@ -71,12 +71,14 @@ ROUTE53 = like_rules(UT, [
     ("%TrafficFlow%", "Route 53 [Traffic Flow]"), ("%Domain%", "Route 53 [Domains]"),
     ("%DNSSEC%", "Route 53 [DNSSEC]"), ("%ARC%", "Route 53 [ARC]"),
 ])
-TRANSFER = []
-for _proto in ("SFTP", "FTPS"):
-    TRANSFER += [(A(L(f"%{_proto}%"), L("%EndpointHour%")), f"Transfer {_proto} Endpoint Hours [Network]"),
-                 (A(L(f"%{_proto}%"), L("%Upload%")), f"Transfer {_proto} Upload [Network]"),
-                 (A(L(f"%{_proto}%"), L("%Download%")), f"Transfer {_proto} Download [Network]")]
-TRANSFER += [
+# Fixed values
+TRANSFER = [
+    (A(L("%SFTP%"), L("%EndpointHour%")), "Transfer SFTP Endpoint Hours [Network]"),
+    (A(L("%SFTP%"), L("%Upload%")), "Transfer SFTP Upload [Network]"),
+    (A(L("%SFTP%"), L("%Download%")), "Transfer SFTP Download [Network]"),
+    (A(L("%FTPS%"), L("%EndpointHour%")), "Transfer FTPS Endpoint Hours [Network]"),
+    (A(L("%FTPS%"), L("%Upload%")), "Transfer FTPS Upload [Network]"),
+    (A(L("%FTPS%"), L("%Download%")), "Transfer FTPS Download [Network]"),
     (A(L("%FTP%"), L("%EndpointHour%"), N("%SFTP%"), N("%FTPS%")), "Transfer FTP Endpoint Hours [Network]"),
     (A(L("%FTP%"), L("%Upload%"), N("%SFTP%"), N("%FTPS%")), "Transfer FTP Upload [Network]"),
     (A(L("%FTP%"), L("%Download%"), N("%SFTP%"), N("%FTPS%")), "Transfer FTP Download [Network]"),

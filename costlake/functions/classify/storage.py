@@ -46,91 +46,86 @@ EBS_VOLUME_TYPE = like_rules("usage_category", [
 EBS_VOLUME_TYPE_DEFAULT = "other"
 
 # ---- S3 -------------------------------------------------------------------------------------------
-S3_OPERATIONS = [
-    ("StandardStorage", "S3 Standard [Storage]"),
-    ("IntelligentTieringAAStorage", "S3 Intelligent Tiering (Archive Access) [Storage]"),
-    ("IntelligentTieringAIAStorage", "S3 Intelligent Tiering (Archive Instant Access) [Storage]"),
-    ("IntelligentTieringDAAStorage", "S3 Intelligent Tiering (Deep Archive Access) [Storage]"),
-    ("IntelligentTieringFAStorage", "S3 Intelligent Tiering (Frequent Access) [Storage]"),
-    ("IntelligentTieringIAStorage", "S3 Intelligent Tiering (Infrequent Access) [Storage]"),
-    ("IntelligentTieringStorage", "S3 Intelligent Tiering [Monitoring & Automation]"),
-    ("S3-INTTransition", "S3 Intelligent Tiering [Initial Transition]"),
-    ("IntAAObjectOverhead", "S3 Intelligent Tiering (Archive Access) [Overhead]"),
-    ("IntAAS3ObjectOverhead", "S3 Intelligent Tiering (Archive Access) [Overhead]"),
-    ("IntDAAObjectOverhead", "S3 Intelligent Tiering (Deep Archive Access) [Overhead]"),
-    ("IntDAAS3ObjectOverhead", "S3 Intelligent Tiering (Deep Archive Access) [Overhead]"),
-    ("OneZoneFAStorage", "S3 One Zone Infrequent Access [Frequent Access Storage]"),
-    ("OneZoneIAStorage", "S3 One Zone Infrequent Access [Storage]"),
-    ("OneZoneIAAAStorage", "S3 One Zone Infrequent Access [Archive Access Storage]"),
-    ("OneZoneAIAStorage", "S3 One Zone Infrequent Access [Archive Instant Access Storage]"),
-    ("OneZoneDAAStorage", "S3 One Zone Infrequent Access [Deep Archive Access Storage]"),
-    ("OneZoneIASizeOverhead", "S3 One Zone Infrequent Access [Overhead]"),
-    ("S3-ZIATransition", "S3 One Zone Infrequent Access [Initial Transition]"),
-    ("StandardIAStorage", "S3 Standard Infrequent Access [Storage]"),
-    ("StandardIASizeOverhead", "S3 Standard Infrequent Access [Overhead]"),
-    ("S3-SIATransition", "S3 Standard Infrequent Access [Initial Transition]"),
-    ("ExpressOneZoneStorage", "S3 Express One Zone [Storage]"),
-    ("GlacierInstantRetrievalStorage", "S3 Glacier Instant Retrieval [Storage]"),
-    ("GlacierInstantRetrievalSizeOverhead", "S3 Glacier Instant Retrieval [Overhead]"),
-    ("GlacierStorage", "S3 Glacier Flexible [Storage]"),
-    ("GlacierStagingStorage", "S3 Glacier Flexible [Storage]"),
-    ("GlacierObjectOverhead", "S3 Glacier Flexible [Overhead]"),
-    ("GlacierS3ObjectOverhead", "S3 Glacier Flexible [Overhead]"),
-    ("RestoreObject", "S3 Glacier [Restore]"),
-    ("S3-GlacierTransition", "S3 Glacier [Initial Transition]"),
-    ("DeepArchiveStorage", "S3 Glacier Deep Archive [Storage]"),
-    ("DeepArchiveStagingStorage", "S3 Glacier Deep Archive [Storage]"),
-    ("DeepArchiveObjectOverhead", "S3 Glacier Deep Archive [Overhead]"),
-    ("DeepArchiveS3ObjectOverhead", "S3 Glacier Deep Archive [Overhead]"),
-    ("DeepArchiveRestoreObject", "S3 Glacier Deep Archive [Restore]"),
-    ("ReducedRedundancyStorage", "S3 Reduced Redundancy [Storage]"),
-    ("InitiateMultipartUpload", "S3 Multipart Upload [Initiated]"),
-    ("CompleteMultipartUpload", "S3 Multipart Upload [Completed]"),
+# Fixed values, tried in this order
+S3 = [
+    (("eq", OP, "StandardStorage"), "S3 Standard [Storage]"),
+    (("eq", OP, "IntelligentTieringAAStorage"), "S3 Intelligent Tiering (Archive Access) [Storage]"),
+    (("eq", OP, "IntelligentTieringAIAStorage"), "S3 Intelligent Tiering (Archive Instant Access) [Storage]"),
+    (("eq", OP, "IntelligentTieringDAAStorage"), "S3 Intelligent Tiering (Deep Archive Access) [Storage]"),
+    (("eq", OP, "IntelligentTieringFAStorage"), "S3 Intelligent Tiering (Frequent Access) [Storage]"),
+    (("eq", OP, "IntelligentTieringIAStorage"), "S3 Intelligent Tiering (Infrequent Access) [Storage]"),
+    (("eq", OP, "IntelligentTieringStorage"), "S3 Intelligent Tiering [Monitoring & Automation]"),
+    (("eq", OP, "S3-INTTransition"), "S3 Intelligent Tiering [Initial Transition]"),
+    (("eq", OP, "IntAAObjectOverhead"), "S3 Intelligent Tiering (Archive Access) [Overhead]"),
+    (("eq", OP, "IntAAS3ObjectOverhead"), "S3 Intelligent Tiering (Archive Access) [Overhead]"),
+    (("eq", OP, "IntDAAObjectOverhead"), "S3 Intelligent Tiering (Deep Archive Access) [Overhead]"),
+    (("eq", OP, "IntDAAS3ObjectOverhead"), "S3 Intelligent Tiering (Deep Archive Access) [Overhead]"),
+    (("eq", OP, "OneZoneFAStorage"), "S3 One Zone Infrequent Access [Frequent Access Storage]"),
+    (("eq", OP, "OneZoneIAStorage"), "S3 One Zone Infrequent Access [Storage]"),
+    (("eq", OP, "OneZoneIAAAStorage"), "S3 One Zone Infrequent Access [Archive Access Storage]"),
+    (("eq", OP, "OneZoneAIAStorage"), "S3 One Zone Infrequent Access [Archive Instant Access Storage]"),
+    (("eq", OP, "OneZoneDAAStorage"), "S3 One Zone Infrequent Access [Deep Archive Access Storage]"),
+    (("eq", OP, "OneZoneIASizeOverhead"), "S3 One Zone Infrequent Access [Overhead]"),
+    (("eq", OP, "S3-ZIATransition"), "S3 One Zone Infrequent Access [Initial Transition]"),
+    (("eq", OP, "StandardIAStorage"), "S3 Standard Infrequent Access [Storage]"),
+    (("eq", OP, "StandardIASizeOverhead"), "S3 Standard Infrequent Access [Overhead]"),
+    (("eq", OP, "S3-SIATransition"), "S3 Standard Infrequent Access [Initial Transition]"),
+    (("eq", OP, "ExpressOneZoneStorage"), "S3 Express One Zone [Storage]"),
+    (("eq", OP, "GlacierInstantRetrievalStorage"), "S3 Glacier Instant Retrieval [Storage]"),
+    (("eq", OP, "GlacierInstantRetrievalSizeOverhead"), "S3 Glacier Instant Retrieval [Overhead]"),
+    (("eq", OP, "GlacierStorage"), "S3 Glacier Flexible [Storage]"),
+    (("eq", OP, "GlacierStagingStorage"), "S3 Glacier Flexible [Storage]"),
+    (("eq", OP, "GlacierObjectOverhead"), "S3 Glacier Flexible [Overhead]"),
+    (("eq", OP, "GlacierS3ObjectOverhead"), "S3 Glacier Flexible [Overhead]"),
+    (("eq", OP, "RestoreObject"), "S3 Glacier [Restore]"),
+    (("eq", OP, "S3-GlacierTransition"), "S3 Glacier [Initial Transition]"),
+    (("eq", OP, "DeepArchiveStorage"), "S3 Glacier Deep Archive [Storage]"),
+    (("eq", OP, "DeepArchiveStagingStorage"), "S3 Glacier Deep Archive [Storage]"),
+    (("eq", OP, "DeepArchiveObjectOverhead"), "S3 Glacier Deep Archive [Overhead]"),
+    (("eq", OP, "DeepArchiveS3ObjectOverhead"), "S3 Glacier Deep Archive [Overhead]"),
+    (("eq", OP, "DeepArchiveRestoreObject"), "S3 Glacier Deep Archive [Restore]"),
+    (("eq", OP, "ReducedRedundancyStorage"), "S3 Reduced Redundancy [Storage]"),
+    (("eq", OP, "InitiateMultipartUpload"), "S3 Multipart Upload [Initiated]"),
+    (("eq", OP, "CompleteMultipartUpload"), "S3 Multipart Upload [Completed]"),
+    (("like", OP, "%StorageLens%"), "S3 Storage Lens"),
+    (("like", OP, "Compaction"), "S3 Table Compaction"),
+    (("like", UT, "%SIA-Tier1%"), "S3 Standard Infrequent Access [Requests Tier1]"),
+    (("like", UT, "%SIA-Tier2%"), "S3 Standard Infrequent Access [Requests Tier2]"),
+    (("like", UT, "%GIR-Tier1%"), "S3 Glacier Instant Retrieval [Requests Tier1]"),
+    (("like", UT, "%GIR-Tier2%"), "S3 Glacier Instant Retrieval [Requests Tier2]"),
+    (("like", UT, "%ZIA-Tier1%"), "S3 One Zone Infrequent Access [Requests Tier1]"),
+    (("like", UT, "%ZIA-Tier2%"), "S3 One Zone Infrequent Access [Requests Tier2]"),
+    (("like", UT, "%-Tier1"), "S3 Requests [PUT, COPY, POST, LIST, UPLOAD]"),
+    (("like", UT, "%-Tier2"), "S3 Requests [GET and all other]"),
+    (("like", UT, "%-Tier3"), "S3 Lifecycle [Requests]"),
+    (("like", UT, "%-Tier4"), "S3 Lifecycle [Transitions]"),
+    (("or", ("like", UT, "%AWS-In-Bytes%"), ("like", UT, "%AWS-Out-Bytes%")), "S3 Data Transfer [Inter-Region]"),
+    (("or", ("like", UT, "%DataXfer-In%"), ("like", UT, "%DataXfer-Out%")), "S3 Data Transfer [Direct Connect]"),
+    (("like", UT, "%CloudFront-Out-Bytes"), "S3 Data Transfer to CloudFront [Out]"),
+    (("like", UT, "%CloudFront-In-Bytes"), "S3 Data Transfer to CloudFront [In]"),
+    (("like", UT, "%DataTransfer-In-Bytes"), "S3 Data Transfer [Internet In]"),
+    (("like", UT, "%DataTransfer-Out-Bytes"), "S3 Data Transfer [Internet Out]"),
+    (("like", UT, "%AWS-Out-ABytes%"), "S3 Accelerated Data Transfer Out [Inter-Region Out]"),
+    (("like", UT, "%AWS-In-ABytes%"), "S3 Accelerated Data Transfer In [Inter-Region In]"),
+    (("like", UT, "%DataTransfer%"), "S3 Data Transfer [Accelerated]"),
+    (("like", UT, "%StorageAnalytics%"), "S3 Analytics"),
+    (("like", UT, "%BatchOperations%"), "S3 Batch Operations"),
+    (("like", UT, "%S3RTC%"), "S3 Replication Time Control"),
+    (("like", UT, "%TagStorage%"), "S3 Tags"),
+    (("like", UT, "%Select%"), "S3 Select"),
+    (("like", UT, "%Inventory%"), "S3 Inventory List"),
+    (("like", UT, "%MRAP%"), "S3 Multi-Region Access Point"),
+    (("like", UT, "%Retrieval-SIA%"), "S3 Standard Infrequent Access [Retrieval]"),
+    (("like", UT, "%Retrieval-GIR%"), "S3 Glacier Instant Retrieval [Retrieval]"),
+    (("like", UT, "%Retrieval%"), "S3 One Zone Infrequent Access [Retrieval]"),
+    (("like", UT, "%EarlyDelete-ZIA%"), "S3 One Zone Infrequent Access [Early Delete]"),
+    (("like", UT, "%EarlyDelete-GIR%"), "S3 Glacier Instant Retrieval [Early Delete]"),
+    (("like", UT, "%EarlyDelete-ByteHrs"), "S3 Glacier [Early Delete]"),
+    (("like", UT, "%EarlyDelete-GDA%"), "S3 Glacier Deep Archive [Early Delete]"),
+    (("like", UT, "%EarlyDelete-SIA%"), "S3 Standard Infrequent Access [Early Delete]"),
+    (("like", UT, "%Requests-GDA%"), "S3 Glacier Deep Archive [Restore Requests]"),
+    (("like", UT, "%Requests-Tier6%"), "S3 Glacier Flexible Retrieval [Restore Requests]"),
 ]
-S3_USAGE_TYPES = [
-    ("%SIA-Tier1%", "S3 Standard Infrequent Access [Requests Tier1]"),
-    ("%SIA-Tier2%", "S3 Standard Infrequent Access [Requests Tier2]"),
-    ("%GIR-Tier1%", "S3 Glacier Instant Retrieval [Requests Tier1]"),
-    ("%GIR-Tier2%", "S3 Glacier Instant Retrieval [Requests Tier2]"),
-    ("%ZIA-Tier1%", "S3 One Zone Infrequent Access [Requests Tier1]"),
-    ("%ZIA-Tier2%", "S3 One Zone Infrequent Access [Requests Tier2]"),
-    ("%-Tier1", "S3 Requests [PUT, COPY, POST, LIST, UPLOAD]"),
-    ("%-Tier2", "S3 Requests [GET and all other]"),
-    ("%-Tier3", "S3 Lifecycle [Requests]"),
-    ("%-Tier4", "S3 Lifecycle [Transitions]"),
-]
-S3_USAGE_TYPES_2 = [
-    ("%CloudFront-Out-Bytes", "S3 Data Transfer to CloudFront [Out]"),
-    ("%CloudFront-In-Bytes", "S3 Data Transfer to CloudFront [In]"),
-    ("%DataTransfer-In-Bytes", "S3 Data Transfer [Internet In]"),
-    ("%DataTransfer-Out-Bytes", "S3 Data Transfer [Internet Out]"),
-    ("%AWS-Out-ABytes%", "S3 Accelerated Data Transfer Out [Inter-Region Out]"),
-    ("%AWS-In-ABytes%", "S3 Accelerated Data Transfer In [Inter-Region In]"),
-    ("%DataTransfer%", "S3 Data Transfer [Accelerated]"),
-    ("%StorageAnalytics%", "S3 Analytics"),
-    ("%BatchOperations%", "S3 Batch Operations"),
-    ("%S3RTC%", "S3 Replication Time Control"),
-    ("%TagStorage%", "S3 Tags"),
-    ("%Select%", "S3 Select"),
-    ("%Inventory%", "S3 Inventory List"),
-    ("%MRAP%", "S3 Multi-Region Access Point"),
-    ("%Retrieval-SIA%", "S3 Standard Infrequent Access [Retrieval]"),
-    ("%Retrieval-GIR%", "S3 Glacier Instant Retrieval [Retrieval]"),
-    ("%Retrieval%", "S3 One Zone Infrequent Access [Retrieval]"),
-    ("%EarlyDelete-ZIA%", "S3 One Zone Infrequent Access [Early Delete]"),
-    ("%EarlyDelete-GIR%", "S3 Glacier Instant Retrieval [Early Delete]"),
-    ("%EarlyDelete-ByteHrs", "S3 Glacier [Early Delete]"),
-    ("%EarlyDelete-GDA%", "S3 Glacier Deep Archive [Early Delete]"),
-    ("%EarlyDelete-SIA%", "S3 Standard Infrequent Access [Early Delete]"),
-    ("%Requests-GDA%", "S3 Glacier Deep Archive [Restore Requests]"),
-    ("%Requests-Tier6%", "S3 Glacier Flexible Retrieval [Restore Requests]"),
-]
-S3 = ([(("eq", OP, op), label) for op, label in S3_OPERATIONS]
-      + [(("like", OP, "%StorageLens%"), "S3 Storage Lens"), (("like", OP, "Compaction"), "S3 Table Compaction")]
-      + like_rules(UT, S3_USAGE_TYPES)
-      + [(("or", ("like", UT, "%AWS-In-Bytes%"), ("like", UT, "%AWS-Out-Bytes%")), "S3 Data Transfer [Inter-Region]"),
-         (("or", ("like", UT, "%DataXfer-In%"), ("like", UT, "%DataXfer-Out%")), "S3 Data Transfer [Direct Connect]")]
-      + like_rules(UT, S3_USAGE_TYPES_2))
 S3_DEFAULT = "S3 [Other]"
 
 # ---- S3 bucket name keywords (word-boundary regexes on the lower-cased name) ---------------------

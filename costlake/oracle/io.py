@@ -106,5 +106,19 @@ def oracle() -> dict[str, str]:
             SELECT 'negative_costs', count(*) FROM serve
             WHERE total_effective_cost < 0 OR total_billed_cost < 0 OR total_list_cost < 0 HAVING count(*) > 0""",
             ("cost_daily", COST_DAILY), ("service_daily", SERVICE_DAILY), ("metadata", METADATA), ("serve", SERVE)),
-        "scan_seed": f"SELECT * FROM {seed_values_sql('regions')}",
+        "scan_seed": query(f"""
+            SELECT 'region' AS seed, region_id AS key, CAST(NULL AS VARCHAR) AS product, count(*) AS line_count, sum(effective_cost) AS total_effective_cost,
+              any_value(nullif(concat_ws(' | ', r.region_name, region_country, region_city, region_timezone), '')) AS attributes
+            FROM silver LEFT JOIN (SELECT region_id AS i, region_name, region_country, region_city, region_timezone FROM regions) r ON i = region_id
+            GROUP BY region_id
+            UNION ALL
+            SELECT 'product', service_code, NULL, count(*), sum(effective_cost), any_value(nullif(concat_ws(' | ', p.service_nice_name, p.service_category), ''))
+            FROM silver LEFT JOIN products p ON p.product_code = service_code GROUP BY service_code
+            UNION ALL
+            SELECT 'family', instance_type_family, code, count(*), sum(effective_cost),
+              any_value(nullif(concat_ws(' | ', generation, instance_processor, latest_intel, latest_amd, latest_graviton, previous_intel), ''))
+            FROM (SELECT *, if(service_code IN ('AmazonEC2', 'AmazonElastiCache', 'AmazonRDS', 'AmazonES'), service_code, 'AmazonEC2') AS code
+                  FROM silver WHERE instance_type_family <> '') s
+            LEFT JOIN (SELECT * FROM {seed_values_sql('modernization')}) m ON m.family = instance_type_family AND m.product = code
+            GROUP BY instance_type_family, code"""),
     }

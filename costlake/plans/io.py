@@ -222,6 +222,32 @@ def deduped_by_stream(bronze: DataFrame, files: int = 6) -> DataFrame:
     return current(spark, f"{folder}/changes", bronze).select(*DEDUPED)
 
 
+def seed_usage(silver: DataFrame, seeds: dict[str, DataFrame]) -> DataFrame:
+    """Lines and cost by region, product code and instance family, with the seed rows that describe them (NULL: none does).
+
+    One pass adds up lines by all three; the seeds, some hundred rows each, are joined to the sums.
+    """
+    family = F.col("instance_type_family")
+    product = F.when(F.col("service_code").isin("AmazonEC2", "AmazonElastiCache", "AmazonRDS", "AmazonES"), F.col("service_code")).otherwise("AmazonEC2")
+    keys = F.inline(F.array(*[F.struct(F.lit(seed).alias("seed"), F.col(key).alias("key"), of.cast("string").alias("product")) for seed, key, of in (
+        ("region", "region_id", F.lit(None)), ("product", "service_code", F.lit(None)), ("family", "instance_type_family", F.col("product")))]))
+    sums = (silver.select("region_id", "service_code", F.when(family != "", family).alias("instance_type_family"), product.alias("product"), "effective_cost")
+            .groupBy("region_id", "service_code", "instance_type_family", "product")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("effective_cost").alias("cost"))
+            .select("n", "cost", keys).where("key is not null")
+            .groupBy("seed", "key", "product").agg(F.sum("n").alias("line_count"), F.sum("cost").alias("total_effective_cost")))
+    about = [
+        seeds["regions"].select(F.lit("region").alias("s"), F.col("region_id").alias("k"), F.lit(None).cast("string").alias("p"),
+                                F.concat_ws(" | ", "region_name", "region_country", "region_city", "region_timezone").alias("attributes")),
+        seeds["products"].select(F.lit("product"), "product_code", F.lit(None).cast("string"), F.concat_ws(" | ", "service_nice_name", "service_category")),
+        seeds["modernization"].select(F.lit("family"), "family", "product", F.concat_ws(
+            " | ", "generation", "instance_processor", "latest_intel", "latest_amd", "latest_graviton", "previous_intel")),
+    ]
+    described = about[0].union(about[1]).union(about[2])
+    on = (F.col("seed") == F.col("s")) & (F.col("key") == F.col("k")) & F.col("product").eqNullSafe(F.col("p"))
+    return sums.join(described, on, "left").select("seed", "key", "product", "line_count", "total_effective_cost", "attributes")
+
+
 def incremental_round_trip(service_daily: DataFrame, as_of: _dt.date, name: str = "service_daily") -> DataFrame:
     """Full refresh of the model into a billing_period-partitioned table in the shared checkpoint
     folder, then an incremental refresh of the last six periods (dynamic partition overwrite), and the

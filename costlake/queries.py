@@ -335,7 +335,7 @@ QUERIES.update({
     "evolve_schema_append": lambda m: io.evolved_round_trip(m.service_daily),
     "audit_store_failures": lambda m: io.audit_round_trip({
         "cost_hierarchy": checks.check_cost_hierarchy(_serve(m)), "negative_costs": checks.check_negative_costs(_serve(m))}),
-    "scan_seed": lambda m: m.seed("regions"),
+    "scan_seed": lambda m: io.seed_usage(m.silver, {name: m.seed(name) for name in ("regions", "products", "modernization")}),
 })
 
 
