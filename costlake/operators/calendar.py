@@ -14,10 +14,29 @@ def _capped_end(max_date: Column, as_of: _dt.date, lag_days: int = 2) -> Column:
     return F.when(max_date >= as_of_ts, F.date_sub(F.lit(as_of), lag_days).cast("timestamp")).otherwise(max_date)
 
 
+#: Columns of sums that carry the dates they cover, so that a calendar needs no second pass over the rows.
+FIRST, LAST = "_first_date", "_last_date"
+
+
+def date_span(date_col: str = "usage_date") -> list[Column]:
+    """Aggregates of the first and last date of what is added up."""
+    return [F.min(date_col).alias(FIRST), F.max(date_col).alias(LAST)]
+
+
+def shared(sums: DataFrame) -> DataFrame:
+    """Sums that are read twice in one query, as rows and for their calendar.
+
+    The condition always holds. It reads every column, so the optimizer prunes neither reader's aggregate; both
+    then have the same exchange, which Spark runs once and reuses.
+    """
+    return sums.where(F.xxhash64(*sums.columns) >= F.lit(-(1 << 63)))
+
+
 def day_spine(df: DataFrame, as_of: _dt.date, date_col: str = "usage_date") -> DataFrame:
-    """One row per day from min(date) to the capped max(date). The bounds are a one-row aggregate;
-    the spine has one row per calendar day of the data's span."""
-    bounds = df.agg(F.min(date_col).alias("_s"), F.max(date_col).alias("_e"))
+    """One row per day from min(date) to the capped max(date). The bounds are a one-row aggregate of the rows, or of
+    sums with ``date_span``; the spine has one row per calendar day of the data's span."""
+    first, last = (FIRST, LAST) if FIRST in df.columns else (date_col, date_col)
+    bounds = df.agg(F.min(first).alias("_s"), F.max(last).alias("_e"))
     bounds = bounds.select(F.col("_s").cast("timestamp").alias("_s"),
                            _capped_end(F.col("_e").cast("timestamp"), as_of).alias("_e"))
     seq = F.when(F.col("_s") <= F.col("_e"),

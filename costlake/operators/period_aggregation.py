@@ -1,7 +1,7 @@
 """Period-over-period cost rollup (week or month) with previous-period change and mover ranking.
 
 Plan shape: partial+final hash aggregate per (period, group) -> join of a calendar (one row per
-period, built from the data's min/max date; broadcast, its size is the number of periods) ->
+period, built from the min/max date that the sums carry; broadcast, its size is the number of periods) ->
 ``lag`` over (partition keys ORDER BY period) (one group's history per window partition) ->
 distributed rank of the period's movers (``operators.ranking``), which never funnels a whole period
 into one task.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.columns import round_half_up
-from costlake.operators.calendar import days_per_period
+from costlake.operators.calendar import date_span, days_per_period, shared
 from costlake.operators.ranking import rank_within
 from costlake.sources.period import PeriodRange, period_filter
 
@@ -39,7 +39,7 @@ def cost_period_aggregation(
         src = period_filter(src, period_range, time_col)
     agg = (
         src.groupBy(F.date_trunc(unit, "usage_date").alias("usage_date"), *group_by, "billing_period")
-        .agg(F.sum(metric).alias("_sum"))
+        .agg(F.sum(metric).alias("_sum"), *(date_span() if include_date_bounds else []))
     )
     # money stays DECIMAL: sums are exact and the per-day normalisation is an exact decimal division
     # (scale 15) rounded HALF_UP, so the result does not depend on floating-point evaluation order
@@ -48,7 +48,8 @@ def cost_period_aggregation(
     if include_date_bounds:
         if as_of is None:
             raise ValueError("include_date_bounds needs as_of")
-        cal = days_per_period(src, unit, as_of)
+        agg = shared(agg)
+        cal = days_per_period(agg, unit, as_of)
         agg = agg.join(F.broadcast(cal), agg["usage_date"] == cal["_period"], "inner").drop("_period")
         scale = 7 if unit == "week" else 30
         normalized = F.round(money * F.lit(scale) / F.col("_ct_days").cast("decimal(20,0)"), 4)

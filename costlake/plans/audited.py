@@ -15,12 +15,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from costlake.operators import checks
-from costlake.plans.core import SERVICE_KEYS
-from costlake.plans.serve import account_metadata, cost_service_account_daily
+from costlake.plans.serve import COSTS, account_lines, account_metadata, cost_service_account_daily, service_days
 from costlake.session import ensure_checkpoint_dir
 
-COSTS = ("total_effective_cost", "total_billed_cost", "total_list_cost")
-
 #: Checks that a row passes or fails by itself: condition of failing, and the report of failing rows.
 ROW_CHECKS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "cost_hierarchy": ("total_list_cost < total_billed_cost and total_effective_cost is not null"
@@ -47,13 +44,9 @@ class AuditedServe:
             df.write.mode("overwrite").parquet(f"{path}/{name}")
             return spark.read.parquet(f"{path}/{name}")
 
-        keys = [*SERVICE_KEYS, "account_name", "payer_account_name", "billing_period"]
-        lines = silver.groupBy(F.date_trunc("day", "usage_date").alias("usage_date"), *keys).agg(
-            F.sum("effective_cost").alias(COSTS[0]), F.sum("billed_cost").alias(COSTS[1]), F.sum("list_cost").alias(COSTS[2]))
-        self.daily = stored(lines, "daily")
+        self.daily = stored(account_lines(silver), "daily")
         self.metadata = stored(account_metadata(self.daily, last_updated), "account_metadata")
-        service = self.daily.groupBy("usage_date", *SERVICE_KEYS, "billing_period").agg(*[F.sum(c).alias(c) for c in COSTS])
-        serve = cost_service_account_daily(service, self.metadata)
+        serve = cost_service_account_daily(service_days(self.daily), self.metadata)
         serve = serve.withColumns({c: F.col(c).cast("double") for c in COSTS})
         seen = Observation()
         counts = [F.count_if(F.coalesce(F.expr(fails), F.lit(False))).alias(name) for name, (fails, _) in ROW_CHECKS.items()]

@@ -12,7 +12,7 @@ from costlake.operators.partials import QUANTILE_K, Measure, Partials, distinct,
 from costlake.functions.classify import compile_rules
 from costlake.functions.classify import compute as R
 from costlake.functions.columns import nullif, round_half_up, safe_div, split_part_null, sum_when
-from costlake.operators.calendar import calendar_metrics
+from costlake.operators.calendar import calendar_metrics, date_span, shared
 from costlake.sources.period import PeriodRange, period_filter
 
 # (service code, operation/usage-type prefix test) of instance-hour lines
@@ -131,8 +131,8 @@ def instance_resource_monthly(hourly: DataFrame, modernization: DataFrame, as_of
         cond = _split_cond(opt, term)
         aggs += [sum_when(cond, "effective_cost").alias(f"eff_{name}"), sum_when(cond, "list_cost").alias(f"list_{name}"),
                  sum_when(cond, hours).alias(f"hours_{name}"), sum_when(cond, "usage_amount").alias(f"usage_{name}")]
-    d = src.groupBy(_trunc("month"), *RESOURCE_KEYS, "billing_period").agg(*aggs)
-
+    d = shared(src.groupBy(_trunc("month"), *RESOURCE_KEYS, "billing_period").agg(*aggs, *date_span()))
+    uti = utilization_scenarios(d, as_of)
     def rate(num, den):
         return round_half_up(safe_div(num, den), 4)
 
@@ -165,7 +165,6 @@ def instance_resource_monthly(hourly: DataFrame, modernization: DataFrame, as_of
     d = d.withColumn("_bucket", bucket)
     j = d.join(mim, (d["instance_type_family"] == mim["_family"]) & (d["_bucket"] == mim["_product"]),
                "left")
-    uti = utilization_scenarios(src, as_of)
     j = j.join(F.broadcast(uti), j["usage_date"] == uti["_month"], "left")
 
     eff, usage, uh = F.col("total_effective_cost"), F.col("total_usage_amount"), F.col("total_usage_hours")

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costlake.operators.calendar import shared
 from costlake.plans import core, serve, silver as silver_plans, tag
 from costlake.session import configure
 from costlake.sources.cur import conform_schema, flat_tag_keys
 from costlake.sources.fixture import cur_source
-from costlake.sources.period import PeriodRange
+from costlake.sources.period import PeriodRange, period_filter
 from costlake.sources.seeds import load_seed
 
 # as_of of the driver tables: the day after the last usage date (fixed for oracle parity)
@@ -133,4 +134,7 @@ class CostModels:
 
     @cached_property
     def cost_service_account_daily(self) -> DataFrame:
-        return serve.cost_service_account_daily(self.service_daily, self.account_metadata)
+        # costs and names from the same sums, whose exchange runs once
+        lines = shared(serve.account_lines(period_filter(self.silver, self.period)))
+        metadata = serve.account_metadata(lines, last_updated=self.as_of.isoformat())
+        return serve.cost_service_account_daily(serve.service_days(lines), metadata)
