@@ -6,7 +6,7 @@ import re
 
 from costlake.oracle.base import TAG_KEYS, query
 from costlake.oracle.checks import SERVE
-from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, invoice_sql
+from costlake.oracle.core import COST_DAILY, METADATA, SERVICE_DAILY, invoice_sql, rdec
 from costlake.sources.seeds import seed_values_sql
 
 #: The conformed export: every column, missing ones typed NULL. (The tag map is compared by unify_tags.)
@@ -99,6 +99,11 @@ def oracle() -> dict[str, str]:
             true AS median_within, true AS merged_median_within FROM silver GROUP BY billing_period"""),
         "evolve_schema_append": query("""SELECT * REPLACE (CASE WHEN billing_period >= '2001-06' THEN service_category END
             AS service_category) FROM service_daily""", ("cost_daily", COST_DAILY), ("service_daily", SERVICE_DAILY)),
+        "evolve_types_append": query(f"""SELECT * REPLACE (CASE WHEN billing_period < '2001-06' THEN service_category END AS service_category,
+            CASE WHEN billing_period < '1998-07' THEN CAST({rdec('total_effective_cost', 0)} AS DOUBLE)
+                 WHEN billing_period < '2001-06' THEN CAST(total_effective_cost AS DOUBLE)
+                 ELSE CAST({rdec('total_effective_cost', 1)} AS DOUBLE) END AS total_effective_cost) FROM service_daily""",
+            ("cost_daily", COST_DAILY), ("service_daily", SERVICE_DAILY)),
         "audit_store_failures": query("""
             SELECT 'cost_hierarchy' AS "check", count(*) AS failures FROM serve
             WHERE total_list_cost < total_billed_cost OR total_billed_cost < total_effective_cost HAVING count(*) > 0

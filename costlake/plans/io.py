@@ -19,6 +19,7 @@ from costlake.plans.core import COSTS, invoice_from_partials, invoice_lines, inv
 from costlake.plans.refresh import DeltaTable
 from costlake.session import ensure_checkpoint_dir
 from costlake.sources.cur import CUR_COLUMNS, conform_schema
+from costlake.sources.evolution import EvolvingTable
 from costlake.sources.period import billing_period_range, period_filter
 from costlake.streaming.dedupe import current, start_dedupe
 from costlake.sources.sinks import audit_store_failures, read_evolved, sink_append, sink_table, sink_view, write_incremental
@@ -106,6 +107,18 @@ def evolved_round_trip(model: DataFrame) -> DataFrame:
     return read_evolved(model.sparkSession, path).select(*model.columns)
 
 
+def evolved_types_round_trip(model: DataFrame) -> DataFrame:
+    """Four batches of one table: whole costs as INT and days as DATE, then as BIGINT with times, as DECIMAL, and as DECIMAL
+    of another scale without a column. They read as DECIMAL and TIMESTAMP, with every value that was written."""
+    table = EvolvingTable(model.sparkSession, _new_table(model.sparkSession, "types"))
+    cost, period = F.col("total_effective_cost"), F.col("billing_period")
+    table.append(model.where(period < "1997-01").withColumns({"total_effective_cost": F.round(cost, 0).cast("int"), "usage_date": F.to_date("usage_date")}))
+    table.append(model.where((period >= "1997-01") & (period < "1998-07")).withColumn("total_effective_cost", F.round(cost, 0).cast("bigint")))
+    table.append(model.where((period >= "1998-07") & (period < SPLIT_PERIOD)).withColumn("total_effective_cost", cost.cast("decimal(16,4)")))
+    table.append(model.where(period >= SPLIT_PERIOD).withColumn("total_effective_cost", F.round(cost, 1).cast("decimal(12,1)")).drop("service_category"))
+    return table.read()
+
+
 def audit_round_trip(failures: dict[str, DataFrame]) -> DataFrame:
     """Failing rows stored in two runs, the first with a check that passes in the second; rows per check."""
     spark = next(iter(failures.values())).sparkSession

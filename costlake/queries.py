@@ -333,6 +333,7 @@ QUERIES.update({
     "sink_table": lambda m: io.table_round_trip(m.service_daily),
     "sink_append": lambda m: io.append_round_trip(m.service_daily),
     "evolve_schema_append": lambda m: io.evolved_round_trip(m.service_daily),
+    "evolve_types_append": lambda m: io.evolved_types_round_trip(m.service_daily),
     "audit_store_failures": lambda m: io.audit_round_trip({
         "cost_hierarchy": checks.check_cost_hierarchy(_serve(m)), "negative_costs": checks.check_negative_costs(_serve(m))}),
     "scan_seed": lambda m: io.seed_usage(m.silver, {name: m.seed(name) for name in ("regions", "products", "modernization")}),
