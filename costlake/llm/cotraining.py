@@ -293,7 +293,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, pool: in
         return None
 
     features = arrow_map(rows.select("doc_id", *content, key), _features, f"id {kind}, key long, t binary, m binary")
-    features = stored(features.join(every, F.col("id") == F.col("doc_id"), "left_anti").select("key", "t", "m"), "features")
+    # dealt out by id at every size: the plan does not change where the labels outgrow a broadcast
+    features = stored(features.join(every.hint("merge"), F.col("id") == F.col("doc_id"), "left_anti").select("key", "t", "m"), "features")
     most = max(1, int(per_round * pool))
 
     def tell(models: list, scales: list, known: list[set[int]]) -> Told:
