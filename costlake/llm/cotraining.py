@@ -98,7 +98,10 @@ def text_features(docs: list[bytes]) -> list[np.ndarray]:
             shape.append(mix((_bucket(share, 10) + (k + 1) * 1000).astype(U) + U(1 << 41)))
         distinct = np.concatenate([words.hashes & size, tail & size, *(s & size for s in starts), *(s & size for s in shape)])
         of = np.concatenate([doc] * 4 + [np.arange(n)] * 3)
-        pairs = np.unique(of.astype(np.int64) << TEXT_BITS | distinct.astype(np.int64))
+        # sorted and without repeats; sorting is several times as fast as numpy's unique, and faster in 32 bits
+        kind = np.uint32 if n <= 1 << (32 - TEXT_BITS) else np.int64
+        pairs = np.sort(of.astype(kind) << kind(TEXT_BITS) | distinct.astype(kind))
+        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])].astype(np.int64)
         at = np.searchsorted(pairs >> TEXT_BITS, np.arange(n + 1))
         index = (pairs & ((1 << TEXT_BITS) - 1)).astype(np.int32)
         out += [index[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
