@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -13,10 +15,30 @@ from pyspark.sql import types as T
 from costlake.session import ensure_checkpoint_dir
 
 
+def _release() -> None:
+    """Give freed memory back to the system: Python workers live on from step to step, and an executor has several."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        pass
+
+
+def _released(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            _release()
+
+    return run
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | T.StructType, barrier: bool = False) -> DataFrame:
-    """``df.mapInArrow`` with a function of this package (pickled by reference)."""
-    return df.mapInArrow(fn, schema, barrier)
+    """``df.mapInArrow`` with a function of this package (pickled by reference); a task's memory is released at its end."""
+    return df.mapInArrow(_released(fn), schema, barrier)
 
 
 def texts(column: pa.Array) -> list[bytes]:
