@@ -87,5 +87,5 @@ def test_stages_on_an_empty_table(spark, folder, tmp_path):
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.ORACLE) <= set(queries.QUERIES)
