@@ -31,10 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlake.llm.frames import added, arrow_map, stored, texts, with_new
+from costlake.llm.frames import added, arrow_map, release, stored, texts, with_new
 from costlake.llm.text import U, chunks, mix
 
 TEXT_BITS, META_BITS = 18, 13
@@ -60,11 +61,6 @@ class View:
         total = np.concatenate([[0.0], np.cumsum(weights[self.index], dtype=np.float64)])
         return total[self.start[1:]] - total[self.start[:-1]] + weights[-1]
 
-    def only(self, features: np.ndarray) -> View:
-        """The same rows with some features left."""
-        keep = features[self.index]
-        return View(np.concatenate([[0], np.cumsum(keep)])[self.start], self.index[keep])
-
 
 def _bucket(value: np.ndarray, steps: int) -> np.ndarray:
     return np.minimum((value * steps).astype(np.int64), steps)
@@ -120,19 +116,22 @@ def meta_features(docs: list[bytes], lang: list, source: list, chars: list) -> l
     return out
 
 
-def telling(view: View, good: np.ndarray, bits: int) -> np.ndarray:
+def telling(parts: list[np.ndarray], good: np.ndarray, bits: int) -> np.ndarray:
     """The features whose share of bad documents differs from the whole by SURE standard errors or more."""
-    n, of = len(good), np.repeat(good, np.diff(view.start))
-    seen = np.bincount(view.index, minlength=1 << bits)
-    bad = seen - np.bincount(view.index[of], minlength=1 << bits)
+    n, seen, bad = len(good), np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+    for part, fine in zip(parts, good, strict=True):
+        seen[part] += 1  # a document has each feature once
+        if not fine:
+            bad[part] += 1
     share = 1 - good.mean()
     error = np.sqrt(np.maximum(seen * share * (1 - share) * (1 - seen / n), 1e-9))
     return (seen >= LEAST_SEEN) & (np.abs(bad - seen * share) >= SURE * error)
 
 
-def fit(view: View, good: np.ndarray, bits: int, rounds: int = 100, shrink: float = 1e-4) -> np.ndarray:
+def fit(parts: list[np.ndarray], good: np.ndarray, bits: int, rounds: int = 100, shrink: float = 1e-4) -> np.ndarray:
     """Logistic regression on the telling features by full-batch AdaGrad; the last weight is the intercept."""
-    n, view = len(good), view.only(telling(view, good, bits))
+    keep = telling(parts, good, bits)
+    n, view = len(good), View.of([p[keep[p]] for p in parts])
     weights, squares, size = np.zeros((1 << bits) + 1), np.full((1 << bits) + 1, 1e-8), np.diff(view.start)
     for _ in range(rounds):
         error = _p(view.logits(weights)) - good
@@ -142,6 +141,12 @@ def fit(view: View, good: np.ndarray, bits: int, rounds: int = 100, shrink: floa
     return weights
 
 
+def logits(parts: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """``View.logits`` of rows of features, most of which have no weight: only the others are put together."""
+    some = weights != 0
+    return View.of([p[some[p]] for p in parts]).logits(weights)
+
+
 def calibrate(columns: list[np.ndarray], good: np.ndarray, shrink: float = 1e-3) -> np.ndarray:
     """A small logistic regression (Newton steps): weights of the columns and the intercept."""
     x = np.stack([*columns, np.ones(len(good))], axis=1)
@@ -183,31 +188,31 @@ class Model:
 
 
 #: Of a round: the models, their scales and the keys that each view knows, to the documents each view tells the
-#: other of: (view, label) -> (key, text features, metadata features).
-Told = dict[tuple[int, bool], list[tuple[int, np.ndarray, np.ndarray]]]
+#: other of: (view, label) -> (key, features of the other view).
+Told = dict[tuple[int, bool], list[tuple[int, np.ndarray]]]
 
 
 def cotrain(text: list[np.ndarray], meta: list[np.ndarray], good: np.ndarray, held: np.ndarray,
             tell: Callable[[list, list, list[set[int]]], Told], rounds: int = 3) -> Model:
     """Fits the views on labelled documents that are not held, and on what they tell each other of the others."""
     views, bits, train, rest = (text, meta), (TEXT_BITS, META_BITS), np.flatnonzero(~held), np.flatnonzero(held)
-    held_out = [View.of([v[i] for i in rest]) for v in views]
-    known: list[dict] = [{}, {}]  # by view: key -> features of both views, label
+    held_out = [[v[i] for i in rest] for v in views]
+    known: list[dict] = [{}, {}]  # by view: key -> its features, label
     told = []
     for turn in range(rounds + 1):
         models, scales = [], []
         for k in (0, 1):
-            rows = View.of([views[k][i] for i in train] + [x[k] for x in known[k].values()])
-            label = np.concatenate([good[train], np.array([x[2] for x in known[k].values()], bool)])
+            rows = [views[k][i] for i in train] + [x[0] for x in known[k].values()]
+            label = np.concatenate([good[train], np.array([x[1] for x in known[k].values()], bool)])
             models.append(fit(rows, label, bits[k]))
-            scales.append(calibrate([held_out[k].logits(models[k])], good[held]))
+            scales.append(calibrate([logits(held_out[k], models[k])], good[held]))
         if turn == rounds:
             break
         found = tell(models, scales, [set(x) for x in known])
         for (k, value), rows in found.items():
-            known[1 - k].update({key: (t, m, value) for key, t, m in rows})
+            known[1 - k].update({key: (features, value) for key, features in rows})
         told.append(tuple(len(rows) for rows in found.values()))
-    calibrated = [held_out[k].logits(models[k]) * scales[k][0] + scales[k][1] for k in (0, 1)]
+    calibrated = [logits(held_out[k], models[k]) * scales[k][0] + scales[k][1] for k in (0, 1)]
     both = calibrate(calibrated, good[held])
     return Model(models[0].astype(np.float32), models[1].astype(np.float32), scales[0], scales[1], both, tuple(told))
 
@@ -288,10 +293,13 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, pool: in
     got = sample.join(one, F.col("id") == F.col("l_id")).select(F.col("key").alias("order"), "good", "t", "m").toArrow()  # max_labelled rows at most
     if not got.num_rows:
         return None
-    got = got.sort_by("order")
-    good = got.column("good").to_numpy()
-    text, meta = ([_decoded(x) for x in got.column(c).to_pylist()] for c in ("t", "m"))
-    held = mix(got.column("order").to_numpy().view(U)) % U(4) == U(0)
+    # row by row: the driver's memory holds the features once more, not several copies of the table
+    at = pc.sort_indices(got, [("order", "ascending")]).to_numpy()
+    good, order_of = (got.column(c).to_numpy()[at] for c in ("good", "order"))
+    text, meta = ([_decoded(got.column(c)[i].as_py()) for i in at.tolist()] for c in ("t", "m"))
+    del got
+    release()
+    held = mix(order_of.view(U)) % U(4) == U(0)
     if not (good[~held].any() and (~good[~held]).any() and good[held].any() and (~good[held]).any()):
         return None
 
@@ -306,10 +314,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, pool: in
         out: Told = {}
         for k in (0, 1):
             for value in (True, False):
-                # Several tasks may have copies of one document.
-                own = found.where(F.col("slot") == 2 * k + value).groupBy("key").agg(F.max("belief").alias("belief"), F.first("t").alias("t"), F.first("m").alias("m"))
+                # Several tasks may have copies of one document. The other view's features are all that is asked for.
+                own = found.where(F.col("slot") == 2 * k + value).groupBy("key").agg(F.max("belief").alias("belief"), F.first("tm"[1 - k]).alias("features"))
                 top = own.orderBy(F.col("belief").desc(), "key").limit(most).collect()  # bounded
-                out[k, value] = [(r.key, _decoded(r.t), _decoded(r.m)) for r in top]
+                out[k, value] = [(r.key, _decoded(r.features)) for r in top]
+        release()
         return out
 
     return cotrain(text, meta, good, held, tell)

@@ -399,6 +399,24 @@ def test_cotraining_edges(spark, frame, empty, documents):
     assert cotraining.train(frame, one) is None
 
 
+def test_cotraining_fits_without_copies_of_all_features():
+    """The driver fits on the features it holds: neither their union nor wider copies of it are made."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    good = rng.random(400) < 0.5
+    # feature 0 tells good documents, the other 20,000 of each document tell nothing
+    parts = [np.append(np.int32(0) if g else np.int32(1), np.sort(rng.choice(np.arange(2, 1 << 18, dtype=np.int32), 20_000, replace=False))) for g in good]
+    size = sum(p.nbytes for p in parts)
+    tracemalloc.start()
+    weights = cotraining.fit(parts, good, cotraining.TEXT_BITS, rounds=20)
+    assert tracemalloc.get_traced_memory()[1] < size
+    tracemalloc.stop()
+    assert weights[0] > 0 > weights[1]
+    every = cotraining.View.of(parts).logits(weights)
+    assert (cotraining.logits(parts, weights) == every).all() and ((every > 0) == good).all()
+
+
 # 5. fingerprints
 
 
