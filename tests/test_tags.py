@@ -3,6 +3,7 @@
 import collections
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -56,3 +57,19 @@ def test_equal_tags_are_one_group(spark):
     sets = df.select(tag_set().alias("tags")).groupBy("tags").count()
     assert sorted(r["count"] for r in sets.collect()) == [1, 3]
     assert explode_tag_keys(sets, "tags").count() == 4
+
+
+def test_lines_are_dealt_out_once(spark, capsys):
+    """The search for tag keys shuffles no lines; sums per resource and tag value stay where they are."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = [(dt.datetime(2024, 1, 1 + i % 3), "a", "s", f"r{i % 5}", None, "2024-01", True, {"k": "v", "w": str(i)}) for i in range(40)]
+    df = spark.createDataFrame(rows, LINES).withColumn("service_code", F.udf(counted, "string")("service_code"))
+    costs = tag.tag_cost_daily(df)
+    costs.explain()
+    assert re.search(r"Exchange hashpartitioning\([^)]*tag_value[^)]*resource_id", capsys.readouterr().out) is None
+    assert len(costs.collect()) > 0 and seen.value == len(rows)
