@@ -4,8 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from costlake import queries
 from costlake.operators.normalize import deduped_lines, keyed_lines
 from costlake.plans import io
+from costlake.session import configure
 from costlake.sources.fixture import cur_source
 from costlake.streaming.dedupe import current, start_dedupe
 from tests.conftest import SF_SMALL
@@ -22,6 +24,17 @@ def test_surrogate_key_is_not_shuffled(models, capsys):
     assert "sha2" not in capsys.readouterr().out
 
 
+def test_wide_projections_are_compiled(spark):
+    """The JVM compiles no method of over 8000 bytes of bytecode: above that, stages aren't fused into one method."""
+    configure(spark)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_instance_types_by_account_are_not_expanded(models):
+    df = queries.QUERIES["gold_instance_type_account_monthly"](models)
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dedupe_stream_keeps_no_state(spark, models, tmp_path):
     line = models.bronze.limit(3).checkpoint()
     changes, checkpoint = f"file://{tmp_path}/changes", f"file://{tmp_path}/checkpoint"
