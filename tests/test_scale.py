@@ -1,11 +1,13 @@
 """Steps that many queries share: tasks grow in number with the input, and nothing is computed or shuffled twice."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from costlake import queries
-from costlake.operators.normalize import deduped_lines, keyed_lines
+from costlake.operators.normalize import dedupe_line_items, deduped_lines, keyed_lines, restored_lines
+from costlake.operators.slices import SLICES, by_slices
 from costlake.plans import io
 from costlake.session import configure
 from costlake.sources.fixture import cur_source
@@ -59,3 +61,33 @@ def test_a_sink_computes_its_model_once(spark):
     model = rows.withColumn("m", F.udf(counted, "int")("n"))
     got = io.table_round_trip(model)
     assert sorted(r.m for r in got.collect()) == [1, 2, 3] and seen.value == 3
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for i in range(files.size()) if (f := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_dedupe_frees_whole_lines_slice_by_slice(spark, models, capsys):
+    lines = io.with_copies(models.bronze.limit(400).checkpoint())
+    before = _shuffle_files(spark)
+    one = dedupe_line_items(lines)
+    for _ in range(50):  # freed when a slice's query ends, asynchronously
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    one.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    want = restored_lines(deduped_lines(keyed_lines(lines)), lines)
+    got, want = ({(r.surrogate_key, r.unblended_cost, r.duplicate_count) for r in df.collect()} for df in (one, want))
+    assert got == want and len(got) == 400
+
+
+def test_slices_give_what_the_whole_gives(spark):
+    rows = spark.createDataFrame([(k, None if k % 3 else "x", v) for k in (None, *range(40)) if k is not None for v in (1, 2, 2)]
+                                 + [(None, None, 5), (None, None, 6)], "k int, t string, v int")
+    count = lambda df: df.groupBy("k", "t").agg(F.max("v").alias("v"), F.count("*").alias("n"))
+    got, want = ([tuple(r) for r in df.collect()] for df in (by_slices(rows, ["k", "t"], count, "test"), count(rows)))
+    assert sorted(got, key=str) == sorted(want, key=str) and len(got) == 41 and SLICES > 1
+    assert by_slices(rows.limit(0), ["k", "t"], count, "test").collect() == []
