@@ -1,5 +1,6 @@
 """Steps that many queries share: tasks grow in number with the input, and nothing is computed or shuffled twice."""
 
+import glob
 import os
 import time
 
@@ -91,3 +92,14 @@ def test_slices_give_what_the_whole_gives(spark):
     got, want = ([tuple(r) for r in df.collect()] for df in (by_slices(rows, ["k", "t"], count, "test"), count(rows)))
     assert sorted(got, key=str) == sorted(want, key=str) and len(got) == 41 and SLICES > 1
     assert by_slices(rows.limit(0), ["k", "t"], count, "test").collect() == []
+
+
+def test_deliveries_land_once(spark, models, tmp_path, monkeypatch):
+    monkeypatch.setattr(io, "new_table", lambda _, name: f"{tmp_path}/{name}")
+    bronze = models.bronze.limit(200).checkpoint()
+    got = io.deduped_by_stream(bronze)
+    assert sorted(map(str, got.collect())) == sorted(map(str, io.deduped(bronze).collect()))
+    kept = {os.path.relpath(os.path.dirname(f), tmp_path).split("/_delivery")[0] for f in glob.glob(f"{tmp_path}/dedupe/**/*.parquet", recursive=True)}
+    assert {k for k in kept if "changes" not in k} == {"dedupe/landing"}
+    assert spark.read.parquet(f"{tmp_path}/dedupe/landing").count() == io.with_copies(bronze).count()
+    assert len(glob.glob(f"{tmp_path}/dedupe/changes/epoch=*")) == 3
